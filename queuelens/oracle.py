@@ -244,8 +244,8 @@ FROM fact_complaints GROUP BY is_incident_day""",
 
 
 def oracle_sql() -> dict[str, str]:
-    from queuelens.oracle_more import MORE_SQL
+    from queuelens.oracle_more import build
 
     out = {k: q(v) for k, v in QUERY_SQL.items()}
-    out.update({k: q(v) for k, v in MORE_SQL.items()})
+    out.update({k: q(v) for k, v in build().items()})
     return out

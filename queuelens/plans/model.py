@@ -62,13 +62,20 @@ def write_star(star: Star, path: str) -> None:
     (fact.repartitionByRange("opened_at", "ticket_id")
          .write.mode("overwrite").partitionBy("opened_month").parquet(f"{path}/fact_complaints"))
     for name in ("dim_category", "dim_channel", "dim_agent"):
-        getattr(star, name).coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+        getattr(star, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
     """Read a written star; the fact keeps ``opened_month`` for partition pruning."""
+    from pyspark.sql import types as T
+
+    from queuelens.schemas import FACT
+
+    # Explicit schema: the partition column stays a 'yyyy-MM' string instead
+    # of whatever partition-value inference would make of it.
+    fact_schema = T.StructType(FACT.fields + [T.StructField("opened_month", T.StringType(), True)])
     return Star(
-        fact=spark.read.parquet(f"{path}/fact_complaints"),
+        fact=spark.read.schema(fact_schema).parquet(f"{path}/fact_complaints"),
         dim_category=spark.read.parquet(f"{path}/dim_category"),
         dim_channel=spark.read.parquet(f"{path}/dim_channel"),
         dim_agent=spark.read.parquet(f"{path}/dim_agent"),
@@ -93,6 +100,20 @@ def materialized_star(spark: SparkSession, sf_dir: str) -> Star:
     return read_star(spark, path)
 
 
+def materialized_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's raw export, written once per application as Parquet."""
+    from queuelens.session import path_exists, scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "#raw")
+    with _LOCK:
+        path = _MEMO.get(key)
+        if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+            path = scratch_path(spark, "raw")
+            fixtures.raw_fact(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _MEMO[key] = path
+    return spark.read.parquet(path)
+
+
 def fact_only(star: Star) -> DataFrame:
     """The 14 fact columns (drops the partition column of a written star)."""
     return star.fact.select(*FACT_COLUMNS)
