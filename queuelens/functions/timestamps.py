@@ -40,10 +40,23 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# A shape every text parseable by the layout at the same position must have.
+# Guarding each attempt with it changes no result (a text without the shape
+# fails that layout anyway) but skips the failing attempts, which are the
+# expensive ones: a failed parse builds and catches an exception per row.
+_LAYOUT_SHAPES = (
+    r"^\d{4}-",
+    r"^\d{1,2}/",
+    r"(?i)[ap]m$",
+    r"^\d{1,2}-[A-Za-z]",
+)
+
+
 def parse_known_formats(col: Column | str) -> Column:
     """First successful parse among the four layouts, else NULL (TIMESTAMP_NTZ)."""
     t = F.trim(_c(col))
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in RAW_TIMESTAMP_FORMATS])
+    parsed = F.coalesce(*[F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(f)))
+                          for shape, f in zip(_LAYOUT_SHAPES, RAW_TIMESTAMP_FORMATS)])
     # try_to_timestamp yields a session-zone timestamp; the session zone is
     # UTC, so the cast back to wall clock is exact.
     return parsed.cast("timestamp_ntz")

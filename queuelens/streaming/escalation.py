@@ -73,38 +73,46 @@ def ticket_events(fact: DataFrame) -> DataFrame:
 
 
 ESCALATION_SCHEMA = "ticket_id long, opened_at timestamp, escalate_at timestamp"
-STATE_SCHEMA = "opened_ms long, due_ms long, closed int"
+# Per open ticket: opening and earliest close instant (epoch ms, -1 = not seen yet).
+STATE_SCHEMA = "opened_ms long, closed_ms long"
+
+
+def _empty() -> pd.DataFrame:
+    return pd.DataFrame({"ticket_id": pd.Series(dtype="int64"),
+                         "opened_at": pd.Series(dtype="datetime64[ns]"),
+                         "escalate_at": pd.Series(dtype="datetime64[ns]")})
 
 
 def _escalate(lead_ms: int):
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ticket_id = key[0]
+        ticket_id = int(key[0])
         if state.hasTimedOut:
-            opened_ms, due_ms, closed = state.get
+            opened_ms, closed_ms = state.get
             state.remove()
-            if not closed:
+            due_ms = opened_ms + lead_ms
+            if opened_ms >= 0 and not (0 <= closed_ms <= due_ms):
                 yield pd.DataFrame({"ticket_id": [ticket_id],
                                     "opened_at": [pd.Timestamp(opened_ms, unit="ms")],
                                     "escalate_at": [pd.Timestamp(due_ms, unit="ms")]})
             return
-        opened_ms, due_ms, closed = state.get if state.exists else (None, None, 0)
+        opened_ms, closed_ms = state.get if state.exists else (-1, -1)
         for pdf in pdfs:
-            times = pd.to_datetime(pdf["event_time"])
-            for ev, t in zip(pdf["event"], times):
-                ms = int(t.value // 1_000_000)
-                if ev == "open":
-                    opened_ms, due_ms = ms, ms + lead_ms
-                elif due_ms is None or ms <= due_ms:
-                    closed = 1
-        if opened_ms is None:          # close seen before open: nothing to time
-            state.update((0, 0, 1))
-            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + 1)
-            return
-        state.update((opened_ms, due_ms, closed))
-        state.setTimeoutTimestamp(max(due_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"ticket_id": pd.Series(dtype="int64"),
-                            "opened_at": pd.Series(dtype="datetime64[ns]"),
-                            "escalate_at": pd.Series(dtype="datetime64[ns]")})
+            ms = pd.to_datetime(pdf["event_time"]).astype("int64") // 1_000_000
+            opens = ms[pdf["event"] == "open"]
+            closes = ms[pdf["event"] == "close"]
+            if len(opens):
+                opened_ms = int(opens.min())
+            if len(closes):
+                c = int(closes.min())
+                closed_ms = c if closed_ms < 0 else min(closed_ms, c)
+        wm = state.getCurrentWatermarkMs()
+        if opened_ms >= 0 and 0 <= closed_ms <= opened_ms + lead_ms:
+            state.remove()                      # resolved before the escalation instant
+        else:
+            state.update((opened_ms, closed_ms))
+            due = opened_ms + lead_ms if opened_ms >= 0 else wm
+            state.setTimeoutTimestamp(max(due, wm + 1))
+        yield _empty()
     return fn
 
 
