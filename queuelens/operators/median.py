@@ -21,21 +21,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def upper_median(df: DataFrame, col: str, out_col: str = "median") -> DataFrame:
-    """One row, one column: value at position ``count(col) // 2`` ascending (NULL if none)."""
+def upper_median(df: DataFrame, col: str, out_col: str = "median",
+                 mean_col: str | None = None, mean_digits: int | None = None,
+                 mean_scale: int = 2) -> DataFrame:
+    """One row: value at position ``count(col) // 2`` ascending (NULL if none).
+
+    With ``mean_col`` the row also carries the mean of ``col``, taken from an
+    exact DECIMAL(18, ``mean_scale``) sum kept in the same coarse histogram
+    (rounded to ``mean_digits``), so mean and median cost one scan together.
+    """
     vals = df.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    bins = vals.groupBy(F.floor("_v").alias("_bin")).agg(F.count(F.lit(1)).alias("_c"))
+    dec_sum = (F.sum(F.col("_v").cast(f"decimal(18,{mean_scale})")) if mean_col
+               else F.lit(None).cast(f"decimal(28,{mean_scale})"))
+    bins = vals.groupBy(F.floor("_v").alias("_bin")).agg(F.count(F.lit(1)).alias("_c"), dec_sum.alias("_s"))
     running = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
+    everything = Window.partitionBy()     # over the histogram rows only
     chosen = (bins
               .withColumn("_cum", F.sum("_c").over(running))
-              .withColumn("_k", F.floor(F.sum("_c").over(everything) / 2))
+              .withColumn("_n", F.sum("_c").over(everything))
+              .withColumn("_sum", F.sum("_s").over(everything))
+              .withColumn("_k", F.floor(F.col("_n") / 2))
               .filter((F.col("_cum") - F.col("_c") <= F.col("_k")) & (F.col("_k") < F.col("_cum")))
-              .select("_bin", (F.col("_cum") - F.col("_c")).alias("_below"), "_k"))
+              .select("_bin", (F.col("_cum") - F.col("_c")).alias("_below"), "_k", "_n", "_sum"))
     inside = (vals.withColumn("_bin", F.floor("_v"))
               .join(F.broadcast(chosen), "_bin", "inner")       # exactly one bin row
-              .groupBy("_v", "_below", "_k").agg(F.count(F.lit(1)).alias("_c")))
+              .groupBy("_v", "_below", "_k", "_n", "_sum").agg(F.count(F.lit(1)).alias("_c")))
     fine = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     picked = (inside.withColumn("_cum", F.sum("_c").over(fine) + F.col("_below"))
               .filter((F.col("_cum") - F.col("_c") <= F.col("_k")) & (F.col("_k") < F.col("_cum"))))
-    return picked.agg(F.max("_v").alias(out_col))
+    outs = [F.max("_v").alias(out_col)]
+    if mean_col:
+        mean = F.try_divide(F.max("_sum").cast("double"), F.max("_n").cast("double"))
+        outs.insert(0, (F.round(mean, mean_digits) if mean_digits is not None else mean).alias(mean_col))
+    return picked.agg(*outs)

@@ -67,13 +67,17 @@ def sequence_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     """Append ``out_col`` = 1-based position of each row within its key, by ``order``.
 
     Equal to ``row_number() OVER (PARTITION BY keys ORDER BY order)``; rows that
-    tie on every ordering column are numbered in an arbitrary order, exactly
-    as with ``row_number``.
+    tie on every ordering column are ordered by their remaining columns (any
+    order is a valid ``row_number``; this one is stable across task retries).
     """
     spark = df.sparkSession
     keys, order = list(keys), list(order)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+    # The remaining columns break ties last: a re-executed task numbers rows
+    # exactly as the first attempt did (only fully identical rows, which are
+    # indistinguishable, can trade places).
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order, *rest)
     schema = T.StructType(df.schema.fields + [
         T.StructField(_PID, T.IntegerType(), False),
         T.StructField(_LSEQ, T.LongType(), False)])

@@ -84,16 +84,10 @@ def q_a1_kpis(star: Star) -> DataFrame:
     )
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side by side join of two single-row results."""
-    return a.withColumn("_one", F.lit(1)).join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one") \
-        .drop("_one")
-
-
 def q_a2_mean_median(star: Star) -> DataFrame:
-    mean = star.fact.agg(sla.exact_mean("resolution_hours", 1).alias("mean_resolution_hours"))
-    median = upper_median(star.fact, "resolution_hours", "median_resolution_hours")
-    return _one_row_join(mean, median)
+    """Mean (1 dp) and upper median of resolution hours, from one histogram pass."""
+    return upper_median(star.fact, "resolution_hours", "median_resolution_hours",
+                        mean_col="mean_resolution_hours", mean_digits=1)
 
 
 def q_a3_value(star: Star) -> DataFrame:

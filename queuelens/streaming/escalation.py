@@ -119,6 +119,9 @@ def _escalate(lead_ms: int):
 def escalation_stream(events: DataFrame, lead_minutes: int, watermark_delay: str = "1 hour") -> DataFrame:
     """Stream form: emit a ticket when its timer (opening + lead) passes the
     watermark without a close event before the due instant."""
+    from queuelens.streaming.ingest import use_rocksdb_state
+
+    use_rocksdb_state(events.sparkSession)
     return (events.withWatermark("event_time", watermark_delay)
             .groupBy("ticket_id")
             .applyInPandasWithState(_escalate(lead_minutes * 60_000), ESCALATION_SCHEMA, STATE_SCHEMA,
