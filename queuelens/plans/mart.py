@@ -101,3 +101,80 @@ def hist_b4_buckets(hist: DataFrame) -> DataFrame:
     return (c.groupBy(sla.resolution_bucket("resolution_hours").alias("resolution_bucket"))
             .agg(F.sum("tickets").alias("ticket_count"), F.min("resolution_hours").alias("_lo"))
             .orderBy("_lo").drop("_lo"))
+
+
+# ------------------------------------------------ filter panels from the mart
+
+def mart_enriched(mart: DataFrame, star: Star) -> DataFrame:
+    """The mart with category and channel names attached (two small joins over
+    mart rows, not tickets)."""
+    from queuelens.operators.joins import join_dim
+
+    m = join_dim(mart, star.dim_category.select("category_id", "category_name"), "category_id")
+    m = join_dim(m, star.dim_channel.select("channel_id", "channel_name"), "channel_id")
+    # the detail model keeps only tickets with an agent member: same inner join,
+    # on the agent key alone
+    return m.join(star.dim_agent.select("agent_id"), "agent_id", "left_semi")
+
+
+def mart_filter(menr: DataFrame, f) -> DataFrame:
+    """``t_filter`` semantics on mart rows (the day key replaces to_date(opened_at))."""
+    cond = F.lit(True)
+    if f.start is not None and f.end is not None:
+        cond = cond & (F.col("day") >= F.lit(f.start)) & (F.col("day") <= F.lit(f.end))
+    if f.categories is not None:
+        cond = cond & (F.col("category_name").isin(*f.categories) if f.categories else F.lit(False))
+    if f.channels is not None:
+        cond = cond & (F.col("channel_name").isin(*f.channels) if f.channels else F.lit(False))
+    if f.incident_only:
+        cond = cond & (F.col("is_incident_day") == 1)
+    return menr.filter(cond)
+
+
+def _tw(cond):
+    return F.sum(F.when(cond, F.col("tickets")).otherwise(0))
+
+
+def mart_t_kpis(fm: DataFrame) -> DataFrame:
+    n = F.sum("tickets")
+    closed = F.col("status") == "Closed"
+    hs = F.sum(F.when(closed, F.col("hours_sum")))
+    hn = F.sum(F.when(closed, F.col("hours_n")))
+    return fm.agg(
+        F.coalesce(n, F.lit(0)).cast("bigint").alias("total_tickets"),
+        F.coalesce(F.lit(100.0) * (F.lit(1.0) - F.try_divide(_tw(F.col("sla_breached") == 1).cast("double"),
+                                                             n.cast("double"))), F.lit(0.0))
+         .alias("sla_compliance_pct"),
+        F.coalesce(F.try_divide(hs.cast("double"), hn.cast("double")), F.lit(0.0)).alias("avg_resolution_hours"),
+        F.coalesce(_tw(F.col("status") == "Open"), F.lit(0)).cast("bigint").alias("open_tickets"),
+        F.coalesce(F.sum("amount_sum").cast("double"), F.lit(0.0)).alias("disputed_value_inr"))
+
+
+def mart_t_category(fm: DataFrame) -> DataFrame:
+    return (fm.groupBy("category_name")
+            .agg(F.sum("tickets").alias("tickets"),
+                 (F.lit(100.0) * (_tw(F.col("sla_breached") == 1).cast("double")
+                                  / F.sum("tickets").cast("double"))).alias("sla_breach_pct"))
+            .orderBy(F.desc("sla_breach_pct"), "category_name"))
+
+
+def mart_t_monthly(fm: DataFrame) -> DataFrame:
+    return (fm.groupBy(F.date_format("day", "yyyy-MM").alias("month"))
+            .agg(F.sum("tickets").alias("tickets"),
+                 (F.lit(100.0) * (F.lit(1.0) - _tw(F.col("sla_breached") == 1).cast("double")
+                                  / F.sum("tickets").cast("double"))).alias("sla_compliance_pct"))
+            .orderBy("month"))
+
+
+def mart_t_channel_counts(fm: DataFrame) -> DataFrame:
+    return fm.groupBy("channel_name").agg(F.sum("tickets").alias("tickets"))
+
+
+def mart_t_root_causes8(fm: DataFrame, k: int = 8) -> DataFrame:
+    b = fm.filter((F.col("sla_breached") == 1) & F.col("root_cause").isNotNull())
+    return (b.groupBy("root_cause").agg(F.sum("tickets").alias("breached_tickets"))
+            .orderBy(F.desc("breached_tickets"), "root_cause").limit(k))
+
+
+def mart_t_match_count(fm: DataFrame) -> DataFrame:
+    return fm.agg(F.coalesce(F.sum("tickets"), F.lit(0)).cast("bigint").alias("matching_tickets"))

@@ -88,3 +88,26 @@ def test_results_do_not_depend_on_shuffle_width(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert all(len(v) == 1 for v in seen.values()), {k: len(v) for k, v in seen.items()}
+
+
+@pytest.mark.parametrize("filt", [
+    dict(),
+    dict(start="1998-01-01", end="1998-12-31", categories=["NATION_2", "NATION_8", "NATION_18"],
+         channels=["1-URGENT", "2-HIGH"]),
+    dict(incident_only=True),
+    dict(categories=[]),
+])
+def test_filter_panels_from_mart_equal_direct(star, filt):
+    import datetime as dt
+    from queuelens.operators import filters
+
+    if "start" in filt:
+        filt = {**filt, "start": dt.date.fromisoformat(filt["start"]), "end": dt.date.fromisoformat(filt["end"])}
+    f = filters.TicketFilter(**filt)
+    direct = filters.t_filter(filters.t_load(star, persist=False), f)
+    fm = mart.mart_filter(mart.mart_enriched(mart.build_mart(star.fact), star), f)
+    pairs = [(mart.mart_t_kpis, filters.t_kpis), (mart.mart_t_category, filters.t_category),
+             (mart.mart_t_monthly, filters.t_monthly), (mart.mart_t_channel_counts, filters.t_channel_counts),
+             (mart.mart_t_root_causes8, filters.t_root_causes8), (mart.mart_t_match_count, filters.t_match_count)]
+    for from_mart, from_detail in pairs:
+        assert _as_set(from_mart(fm)) == _as_set(from_detail(direct)), from_mart.__name__
