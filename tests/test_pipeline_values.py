@@ -46,3 +46,10 @@ def test_cleaned_export_matches_cross_checked_values(spark, sf_dir):
     got = (raw.count(), r.unique, r.open, r.closed_breached, r.sum_hours, r.negative, unparsed,
            r.customers, r.on_target, med)
     assert got == EXPECTED[sf_dir]
+
+
+def test_observed_counts_match(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    m = cleaning.run_clean_pipeline(materialized_raw(spark, sf_dir), fixtures.AS_OF,
+                                    scratch_path(spark, "observed_clean"))
+    assert m == {"raw_rows": 6_000, "unparsed_opened_at": 0, "duplicates_removed": 1_401, "clean_rows": 4_599}
