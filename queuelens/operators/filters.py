@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from queuelens.functions import sla
 from queuelens.plans.model import Star
+from queuelens.plans.queries import sorted_small
 from queuelens.schemas import DETAIL_COLUMNS, ENRICHED_COLUMNS
 
 
@@ -60,7 +61,7 @@ def t_distinct_lists(df: DataFrame) -> DataFrame:
     """t_distinct_lists: sorted distinct category and channel names (long form)."""
     cats = df.select(F.lit("category").alias("list_name"), F.col("category_name").alias("value")).distinct()
     chans = df.select(F.lit("channel").alias("list_name"), F.col("channel_name").alias("value")).distinct()
-    return cats.unionByName(chans).orderBy("list_name", "value")
+    return cats.unionByName(chans).transform(sorted_small("list_name", "value"))
 
 
 def t_filter(df: DataFrame, f: TicketFilter) -> DataFrame:
@@ -107,7 +108,7 @@ def t_category(fdf: DataFrame) -> DataFrame:
     """t_category: tickets and 100*mean(breach) per category (unrounded), worst first."""
     return (fdf.groupBy("category_name")
             .agg(F.count(F.lit(1)).alias("tickets"), _mean_pct("sla_breached").alias("sla_breach_pct"))
-            .orderBy(F.desc("sla_breach_pct"), "category_name"))
+            .transform(sorted_small(F.desc("sla_breach_pct"), "category_name")))
 
 
 def t_monthly(fdf: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def t_monthly(fdf: DataFrame) -> DataFrame:
     return (fdf.groupBy(sla.month_key("opened_at").alias("month"))
             .agg(F.count(F.lit(1)).alias("tickets"),
                  _mean_pct("sla_breached", complement=True).alias("sla_compliance_pct"))
-            .orderBy("month"))
+            .transform(sorted_small("month")))
 
 
 def t_channel_counts(fdf: DataFrame) -> DataFrame:

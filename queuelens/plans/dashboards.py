@@ -55,18 +55,18 @@ def p_breach_by_category(star: Star) -> DataFrame:
     """Breach % and tickets per category name, ascending (chart order)."""
     m = Q.by_dimension(star.fact, star.dim_category, "category_id", ["category_name"])
     return m.select("category_name", Q.breach_pct_of(1).alias("breach_pct"),
-                    Q.n_().alias("tickets")).orderBy("breach_pct", "category_name")
+                    Q.n_().alias("tickets")).transform(Q.sorted_small("breach_pct", "category_name"))
 
 
 def p_monthly(star: Star) -> DataFrame:
     m = Q.measures(star.fact, [sla.month_key("opened_at").alias("month")])
     return m.select("month", Q.n_().alias("tickets"), Q.compliance_pct_of(1).alias("sla_pct")) \
-        .orderBy("month")
+        .transform(Q.sorted_small("month"))
 
 
 def p_root_causes8(star: Star) -> DataFrame:
     """Top 8 breached root causes, then re-sorted ascending for the bar chart."""
-    return Q.q_b3_root_causes(star, k=8).orderBy("breached_tickets", F.desc("root_cause"))
+    return Q.q_b3_root_causes(star, k=8).transform(Q.sorted_small("breached_tickets", F.desc("root_cause")))
 
 
 def p_incident(star: Star) -> DataFrame:
@@ -84,4 +84,4 @@ def bd_sanity(star: Star) -> DataFrame:
     return m.select("category_name", Q.n_().alias("tickets"),
                     Q.avg_hours_of(1).alias("avg_resolution_hrs"),
                     Q.breach_pct_of(1).alias("sla_breach_pct")) \
-        .orderBy(F.desc("sla_breach_pct"), "category_name")
+        .transform(Q.sorted_small(F.desc("sla_breach_pct"), "category_name"))

@@ -100,7 +100,7 @@ def hist_b4_buckets(hist: DataFrame) -> DataFrame:
     c = hist.filter(F.col("status") == "Closed")
     return (c.groupBy(sla.resolution_bucket("resolution_hours").alias("resolution_bucket"))
             .agg(F.sum("tickets").alias("ticket_count"), F.min("resolution_hours").alias("_lo"))
-            .orderBy("_lo").drop("_lo"))
+            .transform(Q.sorted_small("_lo")).drop("_lo"))
 
 
 # ------------------------------------------------ filter panels from the mart
@@ -155,7 +155,7 @@ def mart_t_category(fm: DataFrame) -> DataFrame:
             .agg(F.sum("tickets").alias("tickets"),
                  (F.lit(100.0) * (_tw(F.col("sla_breached") == 1).cast("double")
                                   / F.sum("tickets").cast("double"))).alias("sla_breach_pct"))
-            .orderBy(F.desc("sla_breach_pct"), "category_name"))
+            .transform(Q.sorted_small(F.desc("sla_breach_pct"), "category_name")))
 
 
 def mart_t_monthly(fm: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def mart_t_monthly(fm: DataFrame) -> DataFrame:
             .agg(F.sum("tickets").alias("tickets"),
                  (F.lit(100.0) * (F.lit(1.0) - _tw(F.col("sla_breached") == 1).cast("double")
                                   / F.sum("tickets").cast("double"))).alias("sla_compliance_pct"))
-            .orderBy("month"))
+            .transform(Q.sorted_small("month")))
 
 
 def mart_t_channel_counts(fm: DataFrame) -> DataFrame:
