@@ -129,6 +129,13 @@ def test_orphan_key_is_reported(spark):
     assert got == [2]
 
 
+def test_orphan_keys_are_aggregated(spark):
+    fact = spark.createDataFrame([(1, 3), (2, 99), (3, 99), (4, None)], "ticket_id long, category_id int")
+    dim = spark.createDataFrame([(3, "x", "g", 24)], DIM_CATEGORY)
+    got = [tuple(r) for r in quality.fk_orphan_keys(fact, dim, "category_id").collect()]
+    assert got == [(99, 2)]
+
+
 def test_gate_raises_on_duplicates(spark):
     df = spark.createDataFrame([(1, T0, "Open", 0, 0), (1, T0, "Open", 0, 0)],
                                "ticket_id long, opened_at timestamp_ntz, status string, "
