@@ -98,12 +98,12 @@ _LOCK = threading.Lock()
 
 def materialized_star(spark: SparkSession, sf_dir: str) -> Star:
     """The fixture star, written once per application and sf directory."""
-    from queuelens.session import path_exists, scratch_path
+    from queuelens.session import scratch_path
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         path = _MEMO.get(key)
-        if path is None or not path_exists(spark, f"{path}/dim_agent/_SUCCESS"):
+        if path is None:
             path = scratch_path(spark, "star")
             write_star(star_from_fixture(spark, sf_dir), path)
             _MEMO[key] = path
@@ -112,12 +112,12 @@ def materialized_star(spark: SparkSession, sf_dir: str) -> Star:
 
 def materialized_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture's raw export, written once per application as Parquet."""
-    from queuelens.session import path_exists, scratch_path
+    from queuelens.session import scratch_path
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/") + "#raw")
     with _LOCK:
         path = _MEMO.get(key)
-        if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        if path is None:
             path = scratch_path(spark, "raw")
             fixtures.raw_fact(spark, sf_dir).write.mode("overwrite").parquet(path)
             _MEMO[key] = path

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,21 +72,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
     return "/".join([shared_dir(spark), "queuelens", *parts, uuid.uuid4().hex])
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop FS so it works for any shared store."""
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
-    jvm = spark._jvm  # noqa: SLF001 - Hadoop FileSystem is the public way to probe a path
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    return fs.exists(p)

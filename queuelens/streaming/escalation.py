@@ -126,3 +126,12 @@ def escalation_stream(events: DataFrame, lead_minutes: int, watermark_delay: str
             .groupBy("ticket_id")
             .applyInPandasWithState(_escalate(lead_minutes * 60_000), ESCALATION_SCHEMA, STATE_SCHEMA,
                                     "append", GroupStateTimeout.EventTimeTimeout))
+
+
+def at_risk_stream(events: DataFrame, watermark_delay: str = "1 hour",
+                   target_hours: int = AT_RISK_TARGET_HOURS,
+                   lead_minutes: int = AT_RISK_LEAD_MINUTES) -> DataFrame:
+    """Stream form of st_at_risk: tickets on the ``target_hours`` SLA whose
+    escalation timer (opening + lead) fires before a close event."""
+    return escalation_stream(events.filter(F.col("sla_target_hours") == target_hours),
+                             lead_minutes, watermark_delay)

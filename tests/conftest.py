@@ -31,3 +31,14 @@ def small_star(spark):
     from queuelens.plans.model import materialized_star
 
     return materialized_star(spark, SF_SMALL)
+
+
+def explain_text(df, mode: str = "simple") -> str:
+    """The physical plan as text, through the public ``DataFrame.explain``."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

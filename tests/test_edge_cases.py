@@ -162,6 +162,8 @@ def test_half_open_range_means_full_bounds(spark, small_star):
 def test_month_partition_predicate_is_added(spark, small_star):
     e = filters.t_load(small_star, persist=False)
     f = filters.t_filter(e, filters.TicketFilter(start=dt.date(1998, 1, 1), end=dt.date(1998, 3, 31)))
-    plan = f._jdf.queryExecution().executedPlan().toString()
+    from tests.conftest import explain_text
+
+    plan = explain_text(f)
     assert "PartitionFilters" in plan and "opened_month" in plan
     assert f.count() == e.filter(F.to_date("opened_at").between("1998-01-01", "1998-03-31")).count()

@@ -8,12 +8,12 @@ from queuelens.operators import cleaning, filters
 from queuelens.plans import queries as Q
 from queuelens.plans.model import materialized_star
 from queuelens.sources import fixtures
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, explain_text
 
 
 def plan_of(df) -> str:
-    df.collect()  # final adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()  # so the adaptive plan shown is the final one
+    return explain_text(df)
 
 
 @pytest.fixture(scope="module")
@@ -52,7 +52,7 @@ def test_filter_pushes_to_parquet_and_prunes_months(star):
 
 def test_dedup_limits_groups_before_the_shuffle(spark):
     raw = fixtures.raw_fact(spark, SF_SMALL)
-    p = cleaning.dedup_first(cleaning.type_raw(raw))._jdf.queryExecution().executedPlan().toString()
+    p = explain_text(cleaning.dedup_first(cleaning.type_raw(raw)))
     assert "WindowGroupLimit" in p and "Partial" in p
 
 

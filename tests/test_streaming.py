@@ -30,21 +30,35 @@ def test_ingest_stream_equals_batch_on_ordered_input(spark):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
-def test_unassigned_escalation_stream_equals_batch(spark):
-    star = materialized_star(spark, SF_SMALL)
-    fact = star.fact.select(*FACT_COLUMNS).filter(F.col("agent_id") == -1)
-    base = scratch_path(spark, "test_escalation")
+def _run_stream(spark, fact, build, name):
+    base = scratch_path(spark, name)
     escalation.ticket_events(fact).write.parquet(f"{base}/events")
     events = spark.readStream.schema(escalation.ticket_events(fact).schema).parquet(f"{base}/events")
-    out = escalation.escalation_stream(events, escalation.UNASSIGNED_LEAD_MINUTES, watermark_delay="0 seconds")
-    q = (out.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
+    q = (build(events).writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
          .trigger(availableNow=True).start(f"{base}/out"))
     q.awaitTermination()
-    streamed = {r.ticket_id for r in spark.read.parquet(f"{base}/out").collect()}
+    return {r.ticket_id for r in spark.read.parquet(f"{base}/out").collect()}
+
+
+def _last_event_minus_1s(fact):
     # A timer fires once the watermark (= last event time, zero delay) has
     # passed the escalation instant: the batch rule one second before it.
     import datetime as dt
     last = fact.agg(F.max(F.greatest("opened_at", F.coalesce("closed_at", "opened_at")))).first()[0]
-    batch = {r.ticket_id for r in
-             escalation.unassigned_escalation(fact, last - dt.timedelta(seconds=1)).collect()}
+    return last - dt.timedelta(seconds=1)
+
+
+def test_unassigned_escalation_stream_equals_batch(spark):
+    fact = materialized_star(spark, SF_SMALL).fact.select(*FACT_COLUMNS).filter(F.col("agent_id") == -1)
+    streamed = _run_stream(spark, fact, lambda ev: escalation.escalation_stream(
+        ev, escalation.UNASSIGNED_LEAD_MINUTES, watermark_delay="0 seconds"), "test_escalation")
+    batch = {r.ticket_id for r in escalation.unassigned_escalation(fact, _last_event_minus_1s(fact)).collect()}
+    assert batch and streamed == batch
+
+
+def test_at_risk_stream_equals_batch(spark):
+    fact = materialized_star(spark, SF_SMALL).fact.select(*FACT_COLUMNS)
+    streamed = _run_stream(spark, fact, lambda ev: escalation.at_risk_stream(ev, watermark_delay="0 seconds"),
+                           "test_at_risk")
+    batch = {r.ticket_id for r in escalation.at_risk(fact, _last_event_minus_1s(fact)).collect()}
     assert batch and streamed == batch
