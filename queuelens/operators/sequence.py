@@ -10,9 +10,10 @@ range partitioning instead:
    partitions, each sorted.
 2. ``mapInPandas`` numbers rows within each partition (vectorized on the
    Arrow batches, carrying the open run across batch boundaries).
-3. A per-partition summary (first key, last key, length of the last run) has
-   one row per partition; a running sum over it gives, for each partition,
-   how many rows of its first key precede it in earlier partitions.
+3. A per-partition summary (first key, last key, length of the last run),
+   aggregated JVM-side from the same range exchange, has one row per
+   partition; a running sum over it gives, for each partition, how many rows
+   of its first key precede it in earlier partitions.
 4. That carry table (bounded by the partition count, not the data) is
    broadcast and added to the local numbers.
 
@@ -84,9 +85,15 @@ def sequence_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     numbered = ranged.mapInPandas(_local_numbering(keys), schema)
 
     key_struct = F.struct(*[F.col(k) for k in keys])
-    summary = numbered.groupBy(_PID).agg(
+    # Per-partition summary, JVM-side from the same (reused) range exchange:
+    # rows per (partition, key) -- a partial aggregate, one row per key per
+    # partition -- then first key, last key and the last key's run length.
+    # The Python numbering above therefore runs once per row, not twice.
+    per_key = (ranged.select(F.spark_partition_id().alias(_PID), *keys)
+               .groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("_rows")))
+    summary = per_key.groupBy(_PID).agg(
         F.min(key_struct).alias("kmin"),
-        F.max(F.struct(key_struct.alias("k"), F.col(_LSEQ).alias("run"))).alias("klast"))
+        F.max(F.struct(key_struct.alias("k"), F.col("_rows").alias("run"))).alias("klast"))
     by_last_key = Window.partitionBy(F.col("klast.k")).orderBy(_PID)
     in_order = Window.orderBy(_PID)  # one row per partition: a tiny single-task window
     carry = (summary
