@@ -1,0 +1,28 @@
+"""The SQL text form of each catalog question equals its DataFrame plan."""
+
+from __future__ import annotations
+
+import pytest
+
+from queuelens.plans import queries as Q
+from queuelens.plans.model import materialized_star
+from queuelens.plans.sql_catalog import SQL, run_sql
+from tests.conftest import SF_ORACLE
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return materialized_star(spark, SF_ORACLE)
+
+
+def test_sql_covers_the_catalog():
+    assert set(SQL) == set(Q.QUERIES)
+
+
+@pytest.mark.parametrize("key", sorted(SQL))
+def test_sql_equals_dataframe_plan(spark, star, key):
+    a = run_sql(spark, star, key)
+    b = Q.QUERIES[key](star)
+    assert a.columns == b.columns
+    assert [f.dataType.typeName() for f in a.schema.fields] == [f.dataType.typeName() for f in b.schema.fields]
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
