@@ -1,3 +1,3 @@
 """Native column expressions: timestamp parsing, SLA measures, derived keys."""
 
-from queuelens.functions import privacy, sla, timestamps  # noqa: F401
+from queuelens.functions import privacy, sla, text, timestamps  # noqa: F401

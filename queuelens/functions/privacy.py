@@ -8,5 +8,6 @@ from pyspark.sql import functions as F
 
 def mask_customer(col: Column | str, salt: str) -> Column:
     """Salted SHA-256 of the normalised id (hex).  Same id -> same token."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sha2(F.concat(F.lit(salt), F.upper(F.trim(c))), 256)
+    from queuelens.functions.text import strip_ws
+
+    return F.sha2(F.concat(F.lit(salt), F.upper(strip_ws(col))), 256)

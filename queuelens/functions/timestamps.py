@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from queuelens.functions.text import strip_ws
+
 # The raw export's timestamp layouts, in the order they are
 # tried.  They correspond to the strptime layouts
 #   %Y-%m-%d %H:%M:%S | %d/%m/%Y %H:%M | %m-%d-%Y %I:%M %p | %d-%b-%Y %H:%M:%S
@@ -54,7 +56,7 @@ _LAYOUT_SHAPES = (
 
 def parse_known_formats(col: Column | str) -> Column:
     """First successful parse among the four layouts, else NULL (TIMESTAMP_NTZ)."""
-    t = F.trim(_c(col))
+    t = strip_ws(_c(col))
     parsed = F.coalesce(*[F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(f)))
                           for shape, f in zip(_LAYOUT_SHAPES, RAW_TIMESTAMP_FORMATS)])
     # try_to_timestamp yields a session-zone timestamp; the session zone is
@@ -68,7 +70,7 @@ def parse_fallback(col: Column | str) -> Column:
     Deliberately narrower than a free-form guess: bare times or bare years
     are rejected instead of being anchored to today or to 1 January.
     """
-    t = F.trim(_c(col))
+    t = strip_ws(_c(col))
     return F.when(t.rlike(_ISO_PREFIX), t.try_cast("timestamp_ntz"))
 
 

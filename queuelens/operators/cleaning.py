@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from queuelens.functions import sla, timestamps
+from queuelens.functions.text import strip_ws
 from queuelens.operators.joins import broadcast_if_small
 from queuelens.schemas import FACT_COLUMNS
 
@@ -35,8 +36,8 @@ def dedup_first(df: DataFrame, key: str = "ticket_id", seq: str = "ingest_seq")
 
 
 def normalize_customer(df: DataFrame, col: str = "customer_id") -> DataFrame:
-    """cl_customer: trim + upper case."""
-    return df.withColumn(col, F.upper(F.trim(F.col(col))))
+    """cl_customer: strip surrounding whitespace + upper case."""
+    return df.withColumn(col, F.upper(strip_ws(col)))
 
 
 def default_agent(df: DataFrame, col: str = "agent_id") -> DataFrame:

@@ -84,7 +84,8 @@ def t_filter(df: DataFrame, f: TicketFilter) -> DataFrame:
 
 def t_kpis(fdf: DataFrame) -> DataFrame:
     """t_kpis: count, compliance 100*(1-mean breach), mean hours of Closed tickets,
-    open count, amount sum -- unrounded; 0 instead of NULL on an empty selection."""
+    open count, amount sum -- unrounded; 0 instead of NULL on an empty selection
+    (mean hours: 0 when no ticket is closed, NULL when none of them has hours)."""
     closed = F.col("status") == "Closed"
     n = F.count(F.lit(1))
     hours_closed = F.when(closed, F.col("resolution_hours"))
@@ -93,7 +94,9 @@ def t_kpis(fdf: DataFrame) -> DataFrame:
         F.coalesce(F.lit(100.0) * (F.lit(1.0) - F.try_divide(F.sum("sla_breached").cast("double"),
                                                              n.cast("double"))), F.lit(0.0))
          .alias("sla_compliance_pct"),
-        F.coalesce(sla.exact_mean(hours_closed, None), F.lit(0.0)).alias("avg_resolution_hours"),
+        # 0 only when nothing is closed; closed tickets without hours give NULL
+        F.when(F.count_if(closed) == 0, F.lit(0.0)).otherwise(sla.exact_mean(hours_closed, None))
+         .alias("avg_resolution_hours"),
         F.count_if(F.col("status") == "Open").alias("open_tickets"),
         F.coalesce(sla.exact_sum("transaction_amount_inr"), F.lit(0.0)).alias("disputed_value_inr"),
     )

@@ -122,9 +122,14 @@ AVG_HOURS = ("round(sum(resolution_hours::DECIMAL(18,2))::DOUBLE "
 PARSE_FORMATS = "['%Y-%m-%d %H:%M:%S', '%d/%m/%Y %H:%M', '%m-%d-%Y %I:%M %p', '%d-%b-%Y %H:%M:%S']"
 
 
+def strip_ws(col: str) -> str:
+    """DuckDB twin of ``text.strip_ws``: surrounding whitespace removed."""
+    return f"regexp_replace({col}, '^\\s+|\\s+$', '', 'g')"
+
+
 def parse_ts(col: str) -> str:
     """DuckDB twin of ``parse_mixed_timestamp``: layouts, then ISO-shaped cast."""
-    t = f"trim({col})"
+    t = strip_ws(col)
     return (f"coalesce(try_strptime({t}, {PARSE_FORMATS}), "
             f"CASE WHEN regexp_matches({t}, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}([ T]|$)') "
             f"THEN try_cast({t} AS TIMESTAMP) END)")

@@ -145,7 +145,8 @@ def mart_t_kpis(fm: DataFrame) -> DataFrame:
         F.coalesce(F.lit(100.0) * (F.lit(1.0) - F.try_divide(_tw(F.col("sla_breached") == 1).cast("double"),
                                                              n.cast("double"))), F.lit(0.0))
          .alias("sla_compliance_pct"),
-        F.coalesce(F.try_divide(hs.cast("double"), hn.cast("double")), F.lit(0.0)).alias("avg_resolution_hours"),
+        F.when(F.coalesce(_tw(closed), F.lit(0)) == 0, F.lit(0.0))
+         .otherwise(F.try_divide(hs.cast("double"), hn.cast("double"))).alias("avg_resolution_hours"),
         F.coalesce(_tw(F.col("status") == "Open"), F.lit(0)).cast("bigint").alias("open_tickets"),
         F.coalesce(F.sum("amount_sum").cast("double"), F.lit(0.0)).alias("disputed_value_inr"))
 

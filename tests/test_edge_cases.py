@@ -102,6 +102,23 @@ def test_customer_normalisation(spark):
     assert cleaning.normalize_customer(df).first()[0] == "CUST000123"
 
 
+def test_strip_removes_any_surrounding_whitespace(spark):
+    df = spark.createDataFrame([("\t cust000123\n",), ("\u00a0cust000124\u00a0",)], "customer_id string")
+    assert [r[0] for r in cleaning.normalize_customer(df).collect()] == ["CUST000123", "CUST000124"]
+    ts = spark.createDataFrame([("\t05/02/2026 16:03\r\n",)], "s string")
+    assert ts.select(timestamps.parse_mixed_timestamp("s")).first()[0] == dt.datetime(2026, 2, 5, 16, 3)
+
+
+def test_kpi_mean_hours_null_when_closed_tickets_have_no_hours(spark):
+    rows = [(1, "Closed", None, 0, 10.0), (2, "Open", None, 1, 5.0)]
+    df = spark.createDataFrame(rows, "ticket_id long, status string, resolution_hours double, "
+                                     "sla_breached int, transaction_amount_inr double")
+    k = filters.t_kpis(df).first()
+    assert k.avg_resolution_hours is None and k.total_tickets == 2 and k.open_tickets == 1
+    only_open = filters.t_kpis(df.filter("status = 'Open'")).first()
+    assert only_open.avg_resolution_hours == 0.0
+
+
 def test_bucket_edges(spark):
     hours = [24.0, 24.01, 48.0, 72.0, 168.0, 168.01, None]
     df = spark.createDataFrame([(h,) for h in hours], "h double")
