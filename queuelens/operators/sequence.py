@@ -79,6 +79,17 @@ def sequence_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     # indistinguishable, can trade places).
     rest = [c for c in df.columns if c not in keys and c not in order]
     ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order, *rest)
+    # The numbering and the summary below must see the *same* range exchange:
+    # range bounds come from a sample whose re-sampling of uneven input is
+    # seeded by the RDD id, so two separate exchanges can cut differently.
+    # Both read ``ranged``, whose sort references every column (no pruning
+    # can make the two subtrees differ), so Spark reuses one exchange.  If a
+    # session turns exchange reuse off, the partitioned rows are written
+    # once with a reliable checkpoint instead.
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from queuelens.session import shared_dir
+        shared_dir(spark)
+        ranged = ranged.checkpoint()
     schema = T.StructType(df.schema.fields + [
         T.StructField(_PID, T.IntegerType(), False),
         T.StructField(_LSEQ, T.LongType(), False)])

@@ -53,3 +53,33 @@ def test_upper_median_matches_sorted_list(spark, seed):
     df = spark.createDataFrame([(v,) for v in vals], "h double")
     want = sorted(vals)[len(vals) // 2]
     assert median.upper_median(df, "h").first()[0] == want
+
+
+def test_sequence_on_parquet_input_reuses_one_range_exchange(spark):
+    from queuelens.sources import fixtures
+    from tests.conftest import SF_ORACLE, explain_text
+
+    li = fixtures._lines(spark, SF_ORACLE)
+    seq = sequence_within_key(li, ["ticket_id"], fixtures.INGEST_ORDER, "seq", num_partitions=8)
+    ref = li.withColumn("rn", F.row_number().over(Window.partitionBy("ticket_id").orderBy(*fixtures.INGEST_ORDER)))
+    j = ref.join(seq, ["ticket_id", *fixtures.INGEST_ORDER])
+    assert j.count() == li.count() and j.filter(F.col("rn") != F.col("seq")).count() == 0
+    seq.collect()
+    plan = explain_text(seq)
+    assert "ReusedExchange" in plan and plan.split("Initial Plan")[0].count("MapInPandas") == 1
+
+
+def test_sequence_without_exchange_reuse_checkpoints(spark):
+    from queuelens.sources import fixtures
+    from tests.conftest import SF_SMALL
+
+    li = fixtures._lines(spark, SF_SMALL)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        seq = sequence_within_key(li, ["ticket_id"], fixtures.INGEST_ORDER, "seq", num_partitions=8)
+        ref = li.withColumn("rn", F.row_number().over(
+            Window.partitionBy("ticket_id").orderBy(*fixtures.INGEST_ORDER)))
+        j = ref.join(seq, ["ticket_id", *fixtures.INGEST_ORDER])
+        assert j.count() == li.count() and j.filter(F.col("rn") != F.col("seq")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
