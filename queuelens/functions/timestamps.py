@@ -54,9 +54,16 @@ _LAYOUT_SHAPES = (
 )
 
 
-def parse_known_formats(col: Column | str) -> Column:
-    """First successful parse among the four layouts, else NULL (TIMESTAMP_NTZ)."""
-    t = strip_ws(_c(col))
+def _text(col: Column | str, stripped: bool) -> Column:
+    return _c(col) if stripped else strip_ws(_c(col))
+
+
+def parse_known_formats(col: Column | str, stripped: bool = False) -> Column:
+    """First successful parse among the four layouts, else NULL (TIMESTAMP_NTZ).
+
+    ``stripped=True`` when the caller already removed surrounding whitespace
+    (the text then feeds every guard and attempt without being re-stripped)."""
+    t = _text(col, stripped)
     parsed = F.coalesce(*[F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(f)))
                           for shape, f in zip(_LAYOUT_SHAPES, RAW_TIMESTAMP_FORMATS)])
     # try_to_timestamp yields a session-zone timestamp; the session zone is
@@ -64,19 +71,19 @@ def parse_known_formats(col: Column | str) -> Column:
     return parsed.cast("timestamp_ntz")
 
 
-def parse_fallback(col: Column | str) -> Column:
+def parse_fallback(col: Column | str, stripped: bool = False) -> Column:
     """Last resort (cl_ts_fallback): ISO-shaped text via a plain cast, else NULL.
 
     Deliberately narrower than a free-form guess: bare times or bare years
     are rejected instead of being anchored to today or to 1 January.
     """
-    t = strip_ws(_c(col))
+    t = _text(col, stripped)
     return F.when(t.rlike(_ISO_PREFIX), t.try_cast("timestamp_ntz"))
 
 
-def parse_mixed_timestamp(col: Column | str) -> Column:
+def parse_mixed_timestamp(col: Column | str, stripped: bool = False) -> Column:
     """cl_timestamp: known layouts first, then the ISO fallback; NULL stays NULL."""
-    return F.coalesce(parse_known_formats(col), parse_fallback(col))
+    return F.coalesce(parse_known_formats(col, stripped), parse_fallback(col, stripped))
 
 
 def iso_text(col: Column | str) -> Column:

@@ -20,8 +20,16 @@ from queuelens.schemas import FACT_COLUMNS
 
 
 def parse_timestamps(raw: DataFrame, cols: Sequence[str] = ("opened_at", "closed_at")) -> DataFrame:
-    """cl_timestamp (+ cl_ts_fallback): text in any known layout -> TIMESTAMP_NTZ."""
-    return raw.withColumns({c: timestamps.parse_mixed_timestamp(c) for c in cols})
+    """cl_timestamp (+ cl_ts_fallback): text in any known layout -> TIMESTAMP_NTZ.
+
+    The text is stripped once into a column first: it feeds up to ten guard /
+    parse expressions inside conditional branches, where Spark would otherwise
+    re-evaluate the strip each time.  (The stripping projection is not
+    expression-cheap, so Catalyst keeps it separate instead of inlining it.)"""
+    tmp = {c: f"_{c}_stripped" for c in cols}
+    df = raw.withColumns({tmp[c]: strip_ws(c) for c in cols})
+    df = df.withColumns({c: timestamps.parse_mixed_timestamp(F.col(tmp[c]), stripped=True) for c in cols})
+    return df.drop(*tmp.values())
 
 
 def dedup_first(df: DataFrame, key: str = "ticket_id", seq: str = "ingest_seq") -> DataFrame:
