@@ -184,3 +184,23 @@ def test_month_partition_predicate_is_added(spark, small_star):
     plan = explain_text(f)
     assert "PartitionFilters" in plan and "opened_month" in plan
     assert f.count() == e.filter(F.to_date("opened_at").between("1998-01-01", "1998-03-31")).count()
+
+
+def test_raw_csv_quarantines_malformed_lines(spark):
+    import os
+
+    from queuelens.schemas import RAW_COLUMNS
+    from queuelens.session import scratch_path
+    from queuelens.sources import files
+
+    path = scratch_path(spark, "bad_csv")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    os.makedirs(local, exist_ok=True)
+    good = "1,7,  cust000123 ,3,2,5.0,100.5,2026-02-05 04:03:09,,Open,,24,1,,0"
+    with open(os.path.join(local, "part-0.csv"), "w") as fh:
+        fh.write(",".join(RAW_COLUMNS) + "\n" + good + "\n" + "2,8,oops,too,many,fields" + ",x" * 20 + "\n")
+    df = files.read_raw_csv(spark, path, keep_corrupt=True).cache()
+    rows = sorted(df.collect(), key=lambda r: r.ingest_seq)
+    assert len(rows) == 2
+    assert rows[0][files.CORRUPT_COLUMN] is None and rows[0].customer_id == "  cust000123 "
+    assert rows[1][files.CORRUPT_COLUMN] is not None
