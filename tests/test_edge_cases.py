@@ -204,3 +204,14 @@ def test_raw_csv_quarantines_malformed_lines(spark):
     assert len(rows) == 2
     assert rows[0][files.CORRUPT_COLUMN] is None and rows[0].customer_id == "  cust000123 "
     assert rows[1][files.CORRUPT_COLUMN] is not None
+
+
+def test_unparsed_rows_are_quarantined(spark):
+    raw = spark.createDataFrame([(1, 7, "05/02/2026 16:03"), (1, 8, "not a time"), (2, 8, None)],
+                                "ingest_seq long, ticket_id long, opened_at string")
+    parsed = cleaning.parse_timestamps(raw, cols=("opened_at",))
+    q = quality.unparsed_timestamps(raw, parsed, "opened_at").collect()
+    assert [(r.ticket_id, r.ingest_seq, r.opened_at_text) for r in q] == [(8, 1, "not a time")]
+    n = quality.unparsed_count(raw.withColumn("_ts", timestamps.parse_mixed_timestamp("opened_at")),
+                               "opened_at", "_ts").first()[0]
+    assert n == 1
