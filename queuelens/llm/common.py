@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from queuelens.session import scratch_path
@@ -41,3 +41,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_rows(docs: DataFrame, stay: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` named by ``stay``(doc_id, text_key), one for each, with all their columns.
+
+    text_key is the text's xxhash64.  Rows that repeat id and text meet in the
+    join's own partitioning and order, so keeping one of them costs no shuffle.
+    """
+    named = docs.withColumns({"__id": docs[id_col].cast("long"), "__key": F.xxhash64(text_of(docs, text_col))})
+    wanted = stay.select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__text"))
+    left = named.join(wanted, named["__id"].eqNullSafe(wanted["__doc"]) & (named["__key"] == wanted["__text"]), "left_semi")
+    one = Window.partitionBy("__id", "__key").orderBy("__id")
+    return left.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*docs.columns)

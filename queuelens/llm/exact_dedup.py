@@ -17,10 +17,10 @@ as the scan partitions of its run hold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queuelens.llm.common import ASCII_LOWER, ASCII_UPPER, table, text_of, written
+from queuelens.llm.common import ASCII_LOWER, ASCII_UPPER, keep_rows, table, text_of, written
 
 RUN_BITS = 12   # leaf runs: scan partitions folded onto 2**12 numbers
 FAN_BITS = 4    # 16 runs merge into one in a round
@@ -35,7 +35,7 @@ def with_digest(df: DataFrame, text_col: str = "text", name: str = "digest") ->
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      keep: str = "max") -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, digest.
+    """One row per input row: doc_id, text_key, keep_id, group_size, kept, digest.
 
     Texts are equal when identical after lower-casing A-Z; null is empty.
     ``keep``: of equal texts the row with the largest ("max") or smallest
@@ -47,7 +47,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rank = F.col("doc_id") if keep == "max" else F.coalesce("doc_id", F.lit(2**63 - 1))
     leaves = written(
         with_digest(docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")))
-        .select("doc_id", "digest", F.octet_length("text").alias("n_bytes"),
+        .select("doc_id", F.xxhash64("text").alias("text_key"), "digest", F.octet_length("text").alias("n_bytes"),
                 F.spark_partition_id().bitwiseAND((1 << RUN_BITS) - 1).alias("run"),
                 F.monotonically_increasing_id().alias("row")),
         "digest_leaves")
@@ -67,7 +67,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for level in reversed(levels):
         survivors = _join_parent(level.select("run", *ENTRY, up.alias("parent")), survivors).drop("parent")
     rows = _join_parent(leaves.withColumn("parent", up), survivors)
-    return rows.select("doc_id", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
+    return rows.select("doc_id", "text_key", F.col("best.doc_id").alias("keep_id"), F.col("size").alias("group_size"),
                        (F.col("row") == F.col("best.row")).alias("kept"), "digest")
 
 
@@ -80,14 +80,7 @@ def _join_parent(children: DataFrame, parents: DataFrame) -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           keep: str = "max") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    key = "__digest"
-    stay = (exact_duplicates(docs, id_col, text_col, keep).where("kept")
-            .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__stay")))
-    named = with_digest(docs, text_col, key).withColumn("__key", docs[id_col].cast("long"))
-    left = named.join(stay, named["__key"].eqNullSafe(stay["__id"]) & (named[key] == stay["__stay"]), "left_semi")
-    # rows that repeat id and text meet in the join's own partitioning and order
-    one = Window.partitionBy("__key", key).orderBy("__key")
-    return left.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(*docs.columns)
+    return keep_rows(docs, exact_duplicates(docs, id_col, text_col, keep).where("kept"), id_col, text_col)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
