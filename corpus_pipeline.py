@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from queuelens.llm.common import table, written
 from queuelens.llm.exact_dedup import drop_exact_duplicates
 from queuelens.llm.secrets import redact_secrets
+from queuelens.llm.simhash import drop_near_duplicates
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,12 +15,17 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_duplicates(docs)
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return drop_near_duplicates(docs)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found secrets are masked in the texts; every document stays."""
     return redact_secrets(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("secret_scan", secret_scan)]
+STAGES = [("exact_dedup", exact_dedup), ("simhash_near_dedup", simhash_near_dedup), ("secret_scan", secret_scan)]
 
 ORACLE_SQL = None  # several stages are beyond SQL; tests/llm hold the result against brute force
 
