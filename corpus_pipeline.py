@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from queuelens.llm.common import table, written
 from queuelens.llm.exact_dedup import drop_exact_duplicates
+from queuelens.llm.packing import op5_packing_of
 from queuelens.llm.secrets import redact_secrets
 from queuelens.llm.simhash import drop_near_duplicates
 
@@ -25,7 +26,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redact_secrets(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("simhash_near_dedup", simhash_near_dedup), ("secret_scan", secret_scan)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every id of every document in one place of one sequence."""
+    return op5_packing_of(docs)
+
+
+STAGES = [("exact_dedup", exact_dedup), ("simhash_near_dedup", simhash_near_dedup), ("secret_scan", secret_scan), ("packing", packing)]
 
 ORACLE_SQL = None  # several stages are beyond SQL; tests/llm hold the result against brute force
 
