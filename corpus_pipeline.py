@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from queuelens.llm.common import table, written
 from queuelens.llm.exact_dedup import drop_exact_duplicates
+from queuelens.llm.langid import drop_unidentified
 from queuelens.llm.packing import op5_packing_of
 from queuelens.llm.secrets import redact_secrets
 from queuelens.llm.simhash import drop_near_duplicates
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or of no learned language, go."""
+    return drop_unidentified(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     return drop_exact_duplicates(docs)
@@ -31,7 +37,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op5_packing_of(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("simhash_near_dedup", simhash_near_dedup), ("secret_scan", secret_scan), ("packing", packing)]
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("secret_scan", secret_scan),
+    ("packing", packing),
+]
 
 ORACLE_SQL = None  # several stages are beyond SQL; tests/llm hold the result against brute force
 

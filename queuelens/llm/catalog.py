@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from queuelens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from queuelens.llm.langid import op7_language_id
 from queuelens.llm.packing import op5_packing
 from queuelens.llm.secrets import op1_secret_scan
 from queuelens.llm.simhash import op10_simhash
@@ -10,6 +11,7 @@ from queuelens.llm.simhash import op10_simhash
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op5_packing": op5_packing,
+    "op7_language_id": op7_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash": op10_simhash,
 }
