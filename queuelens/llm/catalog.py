@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from queuelens.llm.bpe import op3_byte_bpe
+from queuelens.llm.chat import op4_chat_format
 from queuelens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from queuelens.llm.langid import op7_language_id
 from queuelens.llm.packing import op5_packing
@@ -12,6 +13,7 @@ from queuelens.llm.simhash import op10_simhash
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_chat_format": op4_chat_format,
     "op5_packing": op5_packing,
     "op7_language_id": op7_language_id,
     "op9_exact_dedup": op9_exact_dedup,
