@@ -9,17 +9,20 @@ from queuelens.llm.langid import op7_language_id
 from queuelens.llm.packing import op5_packing
 from queuelens.llm.secrets import op1_secret_scan
 from queuelens.llm.simhash import op10_simhash
+from queuelens.llm.topk import OP6_SQL, op6_top_k
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_chat_format": op4_chat_format,
     "op5_packing": op5_packing,
+    "op6_top_k": op6_top_k,
     "op7_language_id": op7_language_id,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
+    "op6_top_k": OP6_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
