@@ -10,6 +10,7 @@ from queuelens.llm.packing import op5_packing
 from queuelens.llm.secrets import op1_secret_scan
 from queuelens.llm.simhash import op10_simhash
 from queuelens.llm.topk import OP6_SQL, op6_top_k
+from queuelens.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_top_k": op6_top_k,
     "op7_language_id": op7_language_id,
+    "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash": op10_simhash,
 }
