@@ -9,11 +9,13 @@ from queuelens.llm.langid import op7_language_id
 from queuelens.llm.packing import op5_packing
 from queuelens.llm.secrets import op1_secret_scan
 from queuelens.llm.simhash import op10_simhash
+from queuelens.llm.substrings import op2_substring_dedup
 from queuelens.llm.topk import OP6_SQL, op6_top_k
 from queuelens.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_chat_format": op4_chat_format,
     "op5_packing": op5_packing,
