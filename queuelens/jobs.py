@@ -4,6 +4,8 @@
     spark-submit -m queuelens.jobs star    --clean CLEAN --category CAT_CSV --channel CH_CSV --agent AG_CSV --out STAR
     spark-submit -m queuelens.jobs catalog --star STAR --out RESULTS
     spark-submit -m queuelens.jobs mart    --star STAR --out MART
+    spark-submit -m queuelens.jobs panels  --star STAR --out PANELS [--start DAY --end DAY --category NAME ... --channel NAME ... --incident-only]
+    spark-submit -m queuelens.jobs export  --star STAR --out CSV    [the same selection]
 
 (or ``python -m queuelens.jobs ...`` with a local master).  Each job reads
 and writes shared storage only; nothing but small result counts reaches the
@@ -13,8 +15,10 @@ driver.  ``clean`` refuses to finish if the quality gate fails.
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -30,17 +34,23 @@ def job_star(spark: SparkSession, clean: str, category: str, channel: str, agent
     from queuelens.operators import quality
     from queuelens.plans.model import Star, add_unassigned, write_star
     from queuelens.schemas import FACT_COLUMNS
+    from queuelens.session import replace_folder
     from queuelens.sources.files import read_clean, read_dims_csv
 
     cat, ch, ag = read_dims_csv(spark, category, channel, agent)
     fact = read_clean(spark, clean).select(*FACT_COLUMNS)
     star = Star(fact=fact, dim_category=cat, dim_channel=ch, dim_agent=add_unassigned(ag))
+    broken = {k: n for k, n in quality.assertion_counts(fact).first().asDict().items() if n}
+    if broken:
+        raise quality.DataQualityError(f"data quality gate failed for {clean}: {broken}")
     orphans = {k: quality.fk_orphan_keys(fact, dim, k).count()
                for k, dim in (("category_id", star.dim_category), ("channel_id", star.dim_channel),
                               ("agent_id", star.dim_agent))}
     if any(orphans.values()):
         raise quality.DataQualityError(f"foreign keys without a dimension member: {orphans}")
-    write_star(star, out)
+    staged = f"{out.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    write_star(star, staged)    # four tables that belong together are published together
+    replace_folder(spark, staged, out)
     return {"orphans": orphans}
 
 
@@ -59,15 +69,47 @@ def job_catalog(spark: SparkSession, star_path: str, out: str) -> dict:
 
 
 def job_mart(spark: SparkSession, star_path: str, out: str) -> dict:
-    from queuelens.plans.mart import build_hours_histogram, build_mart, mart_enriched
+    from queuelens.plans.mart import build_agent_mart, build_hours_histogram, build_mart, mart_enriched
     from queuelens.plans.model import read_star
 
     star = read_star(spark, star_path)
     mart_enriched(build_mart(star.fact), star).write.mode("overwrite").parquet(f"{out}/daily")
+    build_agent_mart(star.fact).write.mode("overwrite").parquet(f"{out}/agents")
     build_hours_histogram(star.fact).write.mode("overwrite").parquet(f"{out}/hours_histogram")
     return {"mart_rows": spark.read.parquet(f"{out}/daily").count()}
 
 
+def job_panels(spark: SparkSession, star_path: str, out: str, choice) -> dict:
+    """The filter panels of one selection, each as CSV."""
+    from queuelens.operators import filters
+    from queuelens.plans.model import read_star
+
+    rows = filters.t_filter(filters.t_panel(read_star(spark, star_path)), choice)
+    panels = {"kpis": filters.t_kpis, "category": filters.t_category, "monthly": filters.t_monthly,
+              "channel_counts": filters.t_channel_counts, "root_causes": filters.t_root_causes8, "match_count": filters.t_match_count}
+    for name, fn in panels.items():
+        fn(rows).write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
+    return {"panels": len(panels)}
+
+
+def job_export(spark: SparkSession, star_path: str, out: str, choice) -> dict:
+    """The detail rows of one selection as CSV."""
+    from queuelens.operators import filters
+    from queuelens.plans.model import read_star
+    from queuelens.sources.sinks import write_detail_csv
+
+    write_detail_csv(filters.t_drill(filters.t_filter(filters.t_load(read_star(spark, star_path)), choice)), out)
+    return {"rows": spark.read.option("header", True).csv(out).count()}
+
+
+def _choice(args):
+    from queuelens.operators.filters import TicketFilter
+
+    day = lambda x: datetime.date.fromisoformat(x) if x else None
+    return TicketFilter(start=day(args.start), end=day(args.end), categories=args.category, channels=args.channel,
+                        incident_only=args.incident_only)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     p = argparse.ArgumentParser(prog="queuelens.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -84,6 +126,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     m = sub.add_parser("mart")
     m.add_argument("--star", required=True)
     m.add_argument("--out", required=True)
+    for name in ("panels", "export"):
+        f = sub.add_parser(name)
+        f.add_argument("--star", required=True)
+        f.add_argument("--out", required=True)
+        f.add_argument("--start")
+        f.add_argument("--end")
+        f.add_argument("--category", action="append")
+        f.add_argument("--channel", action="append")
+        f.add_argument("--incident-only", action="store_true")
     args = p.parse_args(argv)
 
     if spark is None:
@@ -98,6 +149,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = job_star(spark, args.clean, args.category, args.channel, args.agent, args.out)
     elif args.job == "catalog":
         result = job_catalog(spark, args.star, args.out)
+    elif args.job in ("panels", "export"):
+        result = {"panels": job_panels, "export": job_export}[args.job](spark, args.star, args.out, _choice(args))
     else:
         result = job_mart(spark, args.star, args.out)
     print(json.dumps({"job": args.job, **result}))

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from queuelens.functions import sla, timestamps
 from queuelens.functions.text import strip_ws
-from queuelens.operators.joins import broadcast_if_small
 from queuelens.schemas import FACT_COLUMNS
 
 
@@ -51,11 +50,11 @@ def normalize_customer(df: DataFrame, col: str = "customer_id") -> DataFrame:
 def default_agent(df: DataFrame, col: str = "agent_id") -> DataFrame:
     """cl_agent_default: missing agent -> -1 (the Unassigned member), as INT.
 
-    Raw ids arrive as float text ("17.0"); they go through DOUBLE first.
+    Raw ids arrive as float text ("17.0"); they go through DOUBLE first.  Text
+    ``NaN`` counts as missing; other unreadable text is found by :func:`rejects`.
     """
     c = F.col(col)
-    as_num = c.try_cast("double") if dict(df.dtypes)[col] == "string" else c.cast("double")
-    return df.withColumn(col, F.coalesce(as_num.cast("int"), F.lit(-1)))
+    return df.withColumn(col, F.coalesce(c.try_cast("double").try_cast("int"), F.lit(-1)))
 
 
 def recompute_resolution(df: DataFrame) -> DataFrame:
@@ -102,59 +101,100 @@ def type_raw(raw: DataFrame) -> DataFrame:
         "channel_id": F.col("channel_id").try_cast("int"),
         "transaction_amount_inr": F.col("transaction_amount_inr").try_cast("double"),
         "resolution_hours": F.col("resolution_hours").try_cast("double"),
-        "sla_target_hours": F.col("sla_target_hours").try_cast("double").cast("int"),
+        "sla_target_hours": F.col("sla_target_hours").try_cast("double").try_cast("int"),
         "sla_breached": _flag01("sla_breached"),
         "is_incident_day": _flag01("is_incident_day"),
     })
 
 
+def _unreadable(col: str, typed: F.Column) -> F.Column:
+    """Text is there, is not a spelling of "missing", and does not read as its type."""
+    t = F.lower(strip_ws(col))
+    return F.col(col).isNotNull() & ~t.isin(*MISSING_TEXTS) & typed.isNull()
+
+
+# Texts that stand for a missing value in an export.
+MISSING_TEXTS = ("", "nan", "none", "null", "na", "n/a")
+
+
+def rejects(raw: DataFrame) -> DataFrame:
+    """``raw`` plus ``reasons``: why a row cannot be loaded (an empty array if it can).
+
+    A row is rejected when its ticket id or opening time is missing or
+    unreadable, or any other typed field has text that does not read as its
+    type.  Rejected rows take no part in the dedup, so that rows without a
+    readable key are kept apart instead of being merged into one.
+    """
+    number = {c: F.col(c).try_cast("double") for c in ("transaction_amount_inr", "resolution_hours")}
+    whole = {c: F.col(c).try_cast("double").try_cast("int") for c in ("category_id", "channel_id", "agent_id", "sla_target_hours")}
+    flags = {c: _flag01(c) for c in ("sla_breached", "is_incident_day")}
+    times = {c: timestamps.parse_mixed_timestamp(c) for c in ("opened_at", "closed_at")}
+    rules = {"ticket_id": F.col("ticket_id").try_cast("long").isNull(),
+             **{c: _unreadable(c, v) for c, v in {**whole, **number, **flags, **times}.items()}}
+    rules["opened_at"] = times["opened_at"].isNull()
+    return raw.withColumn("reasons", F.filter(
+        F.array(*[F.when(bad, F.lit(c)) for c, bad in rules.items()]), lambda x: x.isNotNull()))
+
+
+def quarantine(raw: DataFrame) -> DataFrame:
+    """dq_quarantine: the rejected rows with their texts and reasons."""
+    return rejects(raw).where(F.size("reasons") > 0)
+
+
 def clean_pipeline(raw: DataFrame, as_of: str | _dt.datetime, *, gate: bool = False,
                    sort: bool = False) -> DataFrame:
-    """cl_pipeline: raw export -> clean fact (14 columns), in reference order."""
+    """cl_pipeline: raw export -> clean fact (14 columns), in reference order.
+
+    Rows without a readable ticket id are left to :func:`quarantine`; all
+    other rows take part, as in the reference.
+    """
     from queuelens.operators import quality
 
-    df = type_raw(raw)
+    df = type_raw(raw).where(F.col("ticket_id").isNotNull())
+    df = clean_typed(df, as_of)
+    if gate:
+        df = quality.gate(df)
+    return df.orderBy("ticket_id") if sort else df
+
+
+def clean_typed(typed: DataFrame, as_of: str | _dt.datetime) -> DataFrame:
+    """Dedup first, then parse: only the copy that stays has its times parsed."""
+    df = dedup_first(typed)
     df = parse_timestamps(df)
-    df = dedup_first(df)
     df = normalize_customer(df)
     df = default_agent(df)
     df = recompute_resolution(df)
     df = recompute_breach(df, as_of)
-    df = df.select(*FACT_COLUMNS)
-    if gate:
-        df = quality.gate(df)
-    return df.orderBy("ticket_id") if sort else df
+    return df.select(*FACT_COLUMNS)
 
 
-def run_clean_pipeline(raw: DataFrame, as_of: str | _dt.datetime, path: str) -> dict[str, int]:
-    """The production form of cl_pipeline: clean, write once, audit.
+def run_clean_pipeline(raw: DataFrame, as_of: str | _dt.datetime, path: str,
+                       quarantine_path: str | None = None) -> dict[str, int]:
+    """The production form of cl_pipeline: reject, clean, write aside, audit, publish.
 
-    ``DataFrame.observe`` collects dq_counts / dq_unparsed during the write
-    job itself (raw rows and unparsed opening times on the way in, clean rows
-    on the way out) -- no extra pass over the data.  The gate then runs on the
-    written Parquet (see :func:`quality.write_then_gate`).  Returns the
-    counts; raises ``DataQualityError`` if an assertion fails.
+    Every raw row ends in one of three places: the clean fact, the
+    quarantine (``path`` + ``_quarantine``), or the count of removed copies:
+    raw = clean + duplicates + quarantined.  All counts are read from written
+    tables, so a task that runs twice is not counted twice.  Raises
+    ``DataQualityError``, with the earlier output untouched, if an assertion fails.
     """
-    from pyspark.sql import Observation
-
     from queuelens.operators import quality
-
-    seen_in, seen_out = Observation("raw_in"), Observation("clean_out")
-    df = type_raw(raw).withColumn("_opened_text", F.col("opened_at"))
-    df = parse_timestamps(df).observe(
-        seen_in, F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(F.col("_opened_text").isNotNull() & F.col("opened_at").isNull()).alias("unparsed"))
-    df = dedup_first(df.drop("_opened_text"))
-    df = normalize_customer(df)
-    df = default_agent(df)
-    df = recompute_resolution(df)
-    df = recompute_breach(df, as_of)
-    df = df.select(*FACT_COLUMNS).observe(seen_out, F.count(F.lit(1)).alias("clean_rows"))
-    quality.write_then_gate(df, path)
-    m_in, m_out = seen_in.get, seen_out.get
-    return {"raw_rows": int(m_in["raw_rows"]), "unparsed_opened_at": int(m_in["unparsed"]),
-            "duplicates_removed": int(m_in["raw_rows"]) - int(m_out["clean_rows"]),
-            "clean_rows": int(m_out["clean_rows"])}
+    from queuelens.session import scratch_path
+
+    spark = raw.sparkSession
+    aside = scratch_path(spark, "typed")
+    judged = rejects(raw)
+    judged.withColumn("rejected", F.size("reasons") > 0).write.partitionBy("rejected").parquet(aside)
+    read = spark.read.schema(judged.schema.add("rejected", "boolean")).parquet(aside)
+    good, bad = read.where("not rejected"), read.where("rejected")
+    out = quarantine_path or f"{path.rstrip('/')}_quarantine"
+    bad.drop("rejected").write.mode("overwrite").parquet(out)
+    quality.write_then_gate(clean_typed(type_raw(good.drop("reasons", "rejected")), as_of), path)
+    rows = {r["rejected"]: r["count"] for r in read.groupBy("rejected").count().collect()}
+    clean = spark.read.parquet(path).count()
+    unparsed = bad.where(F.array_contains("reasons", "opened_at") & F.col("opened_at").isNotNull()).count()
+    return {"raw_rows": sum(rows.values()), "quarantined": rows.get(True, 0), "unparsed_opened_at": unparsed,
+            "duplicates_removed": rows.get(False, 0) - clean, "clean_rows": clean}
 
 
 # ------------------------------------------------- re-aimed simulator rules
@@ -164,11 +204,11 @@ def flag_incident_days(fact: DataFrame, calendar: DataFrame, ts_col: str = "open
     """g1_incident_flag: 1 if the ticket opened on a listed incident day.
 
     ``calendar`` has one column ``incident_date`` (DATE); it is
-    de-duplicated and joined (broadcast when provably small) on the date.
+    de-duplicated and joined on the date.
     """
     days = calendar.select(F.col("incident_date").cast("date").alias("_day")).distinct() \
         .withColumn("_hit", F.lit(1))
-    out = fact.withColumn("_day", F.to_date(ts_col)).join(broadcast_if_small(days), "_day", "left")
+    out = fact.withColumn("_day", F.to_date(ts_col)).join(days, "_day", "left")
     return out.withColumn(out_col, F.coalesce(F.col("_hit"), F.lit(0))).drop("_day", "_hit")
 
 
@@ -180,9 +220,10 @@ def route_team(df: DataFrame, routing: DataFrame, group_col: str = "category_gro
                out_col: str = "routed_team", default: str = DEFAULT_TEAM) -> DataFrame:
     """g2_route_team: category group -> owning team, else the default team.
 
-    ``routing`` has columns ``category_group`` and ``team``; one team per group.
+    ``routing`` has columns ``category_group`` and ``team``; of several teams of a
+    group the first in alphabetical order is taken.
     """
     r = routing.select(F.col("category_group").alias(group_col), F.col("team").alias("_team")) \
-        .dropDuplicates([group_col])
-    out = df.join(broadcast_if_small(r), group_col, "left")
+        .groupBy(group_col).agg(F.min("_team").alias("_team"))
+    out = df.join(r, group_col, "left")
     return out.withColumn(out_col, F.coalesce(F.col("_team"), F.lit(default))).drop("_team")

@@ -14,11 +14,11 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queuelens.functions import sla
+from queuelens.operators import joins
 from queuelens.plans.model import Star
 from queuelens.plans.queries import sorted_small
 from queuelens.schemas import DETAIL_COLUMNS, ENRICHED_COLUMNS
@@ -36,32 +36,41 @@ class TicketFilter:
     incident_only: bool = False
 
 
-def t_load(star: Star, persist: bool = True) -> DataFrame:
-    """t_load: the enriched detail (plus ``opened_month`` when the fact has it),
-    persisted for the panels that follow."""
+def t_load(star: Star) -> DataFrame:
+    """t_load: the enriched detail (plus ``opened_month`` when the fact has it)."""
     extra = ["opened_month"] if "opened_month" in star.fact.columns else []
-    fact = star.fact
-    from queuelens.operators import joins
+    df = t_panel(star)
+    df = joins.join_dim(df, star.dim_agent.select("agent_id", "agent_name", "team"), "agent_id")
+    return df.select(*ENRICHED_COLUMNS, *extra)
+
+
+def t_panel(star: Star) -> DataFrame:
+    """What the panels read: the fact with category and channel names.
 
+    No panel shows an agent, so the agent dimension, which grows with the data
+    and has one very frequent member, stays out; that every ticket has an agent
+    member is what the foreign-key gate of the star job has checked."""
     cat = star.dim_category.select("category_id", "category_name", "category_group")
-    df = joins.join_dim(fact, cat, "category_id")
-    df = joins.join_dim(df, star.dim_channel.select("channel_id", "channel_name"), "channel_id")
-    df = joins.join_dim(df, star.dim_agent.select("agent_id", "agent_name", "team"), "agent_id")
-    df = df.select(*ENRICHED_COLUMNS, *extra)
-    return df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
+    df = joins.join_dim(star.fact, cat, "category_id")
+    return joins.join_dim(df, star.dim_channel.select("channel_id", "channel_name"), "channel_id")
 
 
-def t_bounds(df: DataFrame) -> DataFrame:
-    """t_bounds: first and last opening date (the date widget's limits)."""
+def t_bounds(fact: DataFrame) -> DataFrame:
+    """t_bounds: first and last opening date (the date widget's limits); one scan of one column."""
     d = F.to_date("opened_at")
-    return df.agg(F.min(d).alias("min_date"), F.max(d).alias("max_date"))
+    return fact.agg(F.min(d).alias("min_date"), F.max(d).alias("max_date"))
+
 
+def t_distinct_lists(star: Star) -> DataFrame:
+    """t_distinct_lists: sorted distinct category and channel names in use (long form).
 
-def t_distinct_lists(df: DataFrame) -> DataFrame:
-    """t_distinct_lists: sorted distinct category and channel names (long form)."""
-    cats = df.select(F.lit("category").alias("list_name"), F.col("category_name").alias("value")).distinct()
-    chans = df.select(F.lit("channel").alias("list_name"), F.col("channel_name").alias("value")).distinct()
-    return cats.unionByName(chans).transform(sorted_small("list_name", "value"))
+    The fact is first reduced to its distinct (category, channel) pairs."""
+    pairs = star.fact.select("category_id", "channel_id").distinct()
+    named = (pairs.join(star.dim_category.select("category_id", "category_name"), "category_id")
+             .join(star.dim_channel.select("channel_id", "channel_name"), "channel_id"))
+    both = F.array(F.struct(F.lit("category").alias("list_name"), F.col("category_name").alias("value")),
+                   F.struct(F.lit("channel").alias("list_name"), F.col("channel_name").alias("value")))
+    return named.select(F.explode(both).alias("x")).select("x.*").distinct().transform(sorted_small("list_name", "value"))
 
 
 def t_filter(df: DataFrame, f: TicketFilter) -> DataFrame:

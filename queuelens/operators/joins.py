@@ -1,11 +1,8 @@
-"""Star joins (j_*) with a checked broadcast.
+"""Star joins (j_*): plain inner equi-joins.
 
-Dimensions are broadcast only after their row count has been proven small:
-``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows, so the
-check itself is cheap even when the dimension is not small.  Above the
-bound the join is left to the planner (sort-merge, or a runtime switch by
-AQE) -- a dimension that grows with the data (agents) never gets forced
-into executor memory.
+No hint and no count at plan-build time: Spark's byte statistics decide on a
+broadcast under the session's threshold, and AQE re-plans from real sizes.  A
+dimension that grows with the data (agents) is never forced into memory.
 """
 
 from __future__ import annotations
@@ -15,24 +12,11 @@ from pyspark.sql import functions as F
 
 from queuelens.schemas import ENRICHED_COLUMNS
 
-# Largest dimension that may be broadcast (rows).  A million narrow rows is
-# tens of MB -- well inside executor memory.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, key: str,
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Inner equi-join of ``fact`` to ``dim`` on ``key`` (fact rows without a
     matching member are dropped, as with SQL ``JOIN``)."""
-    return fact.join(broadcast_if_small(dim, max_rows), key, "inner")
+    return fact.join(dim, key, "inner")
 
 
 def join_category(fact: DataFrame, dim_category: DataFrame) -> DataFrame:

@@ -1,119 +1,38 @@
-"""Skew-safe ``row_number()`` within a key.
+"""Numbering within a key without one task per key.
 
-``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a
-key to one task; a hot key holding a third of the data would then be sorted
-by a single task.  This operator computes the same numbers with a global
-range partitioning instead:
-
-1. ``repartitionByRange(key, order...)`` + ``sortWithinPartitions``: the
-   bounds include the ordering columns, so a hot key is split across many
-   partitions, each sorted.
-2. ``mapInPandas`` numbers rows within each partition (vectorized on the
-   Arrow batches, carrying the open run across batch boundaries).
-3. A per-partition summary (first key, last key, length of the last run),
-   aggregated JVM-side from the same range exchange, has one row per
-   partition; a running sum over it gives, for each partition, how many rows
-   of its first key precede it in earlier partitions.
-4. That carry table (bounded by the partition count, not the data) is
-   broadcast and added to the local numbers.
-
-Result: one range shuffle, a tiny aggregate, a broadcast join -- no task ever
-holds more than one partition's worth of a key.
+``row_number()`` over a key alone sends a hot key's rows to one task.  Here a
+key is split by a value that never decreases along the order (``part``, such
+as the month of the first ordering column): rows are numbered within
+(key, part), and the rows of a key's earlier parts, counted by a small
+aggregate, are added.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_PID = "_seq_pid"
-_LSEQ = "_seq_local"
-
 
-def _local_numbering(key_cols: list[str]):
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
-        last_key: tuple | None = None
-        run = 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{_PID: pd.Series(dtype="int32"), _LSEQ: pd.Series(dtype="int64")})
-                continue
-            keys = pdf[key_cols].reset_index(drop=True)
-            changed = (keys != keys.shift()).any(axis=1)
-            first_key = tuple(keys.iloc[0])
-            changed.iloc[0] = True
-            gid = changed.cumsum()
-            local = keys.groupby(gid).cumcount().to_numpy() + 1
-            if last_key is not None and first_key == last_key:
-                local[(gid == 1).to_numpy()] += run
-            last_key = tuple(keys.iloc[-1])
-            tail = (gid == gid.iloc[-1]).to_numpy()
-            run = int(local[tail][-1])
-            out = pdf.reset_index(drop=True)
-            out[_PID] = pid
-            out[_LSEQ] = local.astype("int64")
-            yield out
-    return number
-
-
-def sequence_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                        out_col: str, num_partitions: int | None = None) -> DataFrame:
+def sequence_within_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], out_col: str,
+                        part: Column) -> DataFrame:
     """Append ``out_col`` = 1-based position of each row within its key, by ``order``.
 
-    Equal to ``row_number() OVER (PARTITION BY keys ORDER BY order)``; rows that
-    tie on every ordering column are ordered by their remaining columns (any
-    order is a valid ``row_number``; this one is stable across task retries).
+    Equal to ``row_number() OVER (PARTITION BY keys ORDER BY order)`` as long as
+    ``part`` never decreases along ``order``.  Rows that tie on every ordering
+    column are ordered by their remaining columns, so a task that runs again
+    numbers them alike.
     """
-    spark = df.sparkSession
-    keys, order = list(keys), list(order)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The remaining columns break ties last: a re-executed task numbers rows
-    # exactly as the first attempt did (only fully identical rows, which are
-    # indistinguishable, can trade places).
     rest = [c for c in df.columns if c not in keys and c not in order]
-    ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order, *rest)
-    # The numbering and the summary below must see the *same* range exchange:
-    # range bounds come from a sample whose re-sampling of uneven input is
-    # seeded by the RDD id, so two separate exchanges can cut differently.
-    # Both read ``ranged``, whose sort references every column (no pruning
-    # can make the two subtrees differ), so Spark reuses one exchange.  If a
-    # session turns exchange reuse off, the partitioned rows are written
-    # once with a reliable checkpoint instead.
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        from queuelens.session import shared_dir
-        shared_dir(spark)
-        ranged = ranged.checkpoint()
-    schema = T.StructType(df.schema.fields + [
-        T.StructField(_PID, T.IntegerType(), False),
-        T.StructField(_LSEQ, T.LongType(), False)])
-    numbered = ranged.mapInPandas(_local_numbering(keys), schema)
-
-    key_struct = F.struct(*[F.col(k) for k in keys])
-    # Per-partition summary, JVM-side from the same (reused) range exchange:
-    # rows per (partition, key) -- a partial aggregate, one row per key per
-    # partition -- then first key, last key and the last key's run length.
-    # The Python numbering above therefore runs once per row, not twice.
-    per_key = (ranged.select(F.spark_partition_id().alias(_PID), *keys)
-               .groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias("_rows")))
-    summary = per_key.groupBy(_PID).agg(
-        F.min(key_struct).alias("kmin"),
-        F.max(F.struct(key_struct.alias("k"), F.col("_rows").alias("run"))).alias("klast"))
-    by_last_key = Window.partitionBy(F.col("klast.k")).orderBy(_PID)
-    in_order = Window.orderBy(_PID)  # one row per partition: a tiny single-task window
-    carry = (summary
-             .withColumn("cum", F.sum(F.col("klast.run")).over(by_last_key))
-             .withColumn("prev_key", F.lag(F.col("klast.k")).over(in_order))
-             .withColumn("prev_cum", F.lag("cum").over(in_order))
-             .where(F.col("prev_key") == F.col("kmin"))
-             .select(F.col(_PID), F.col("kmin").alias("_carry_key"), F.col("prev_cum").alias("_carry")))
-    joined = numbered.join(F.broadcast(carry), _PID, "left")
-    add = F.when(key_struct == F.col("_carry_key"), F.col("_carry")).otherwise(F.lit(0))
-    return joined.withColumn(out_col, (F.col(_LSEQ) + add).cast("long")).drop(
-        _PID, _LSEQ, "_carry_key", "_carry")
+    split = df.withColumn("_part", part)
+    own = Window.partitionBy(*keys, "_part").orderBy(*order, *rest)
+    numbered = split.withColumn("_own", F.row_number().over(own))
+    counts = split.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_before_part"),
+                           F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    same = F.col("_part").eqNullSafe(F.col("_before_part"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return numbered.join(before, same).withColumn(out_col, (F.col("_own") + F.col("_before")).cast("long")).select(*df.columns, out_col)

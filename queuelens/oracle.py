@@ -20,9 +20,9 @@ WITH li AS (
 ),
 base AS (
   SELECT li.ticket_id, li.ingest_seq, li.l_suppkey,
-         'CUST' || lpad(CAST(o.o_custkey AS VARCHAR), 6, '0') AS customer_id,
+         printf('CUST%06d', o.o_custkey) AS customer_id,
          CAST(c.c_nationkey AS INTEGER) AS category_id,
-         CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS channel_id,
+         CAST(split_part(o.o_orderpriority, '-', 1) AS INTEGER) AS channel_id,
          CAST(CASE WHEN li.ticket_id % 67 = 0 THEN -1 ELSE li.l_suppkey END AS INTEGER) AS agent_id,
          li.l_extendedprice AS transaction_amount_inr,
          o.o_orderdate + to_seconds((li.l_partkey % 1440) * 60 + li.l_suppkey % 60) AS opened_at,
@@ -91,7 +91,7 @@ dim_category AS (
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 dim_channel AS (
-  SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS channel_id,
+  SELECT DISTINCT CAST(split_part(o_orderpriority, '-', 1) AS INTEGER) AS channel_id,
          o_orderpriority AS channel_name
   FROM orders
 ),

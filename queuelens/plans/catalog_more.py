@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from queuelens.functions import privacy, timestamps
 from queuelens.operators import cleaning, filters, joins, quality
 from queuelens.plans import dashboards as X
+from queuelens.plans import mart as M
 from queuelens.plans import queries as Q
 from queuelens.plans import reports as R
 from queuelens.plans.model import (Star, add_unassigned, materialized_raw, materialized_star,
@@ -59,7 +60,11 @@ def _cleaned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _filtered(spark: SparkSession, d: str) -> DataFrame:
-    return filters.t_filter(filters.t_load(_star(spark, d), persist=False), REGISTRY_FILTER)
+    return filters.t_filter(filters.t_load(_star(spark, d)), REGISTRY_FILTER)
+
+
+def _panel(spark: SparkSession, d: str) -> DataFrame:
+    return filters.t_filter(filters.t_panel(_star(spark, d)), REGISTRY_FILTER)
 
 
 # ------------------------------------------------------------ sources / sinks
@@ -163,17 +168,23 @@ def dq_domain(spark, d):
 
 def dq_fk(spark, d):
     s = _star(spark, d)
-    fact = s.fact.select(*FACT_COLUMNS)
-    parts = [
-        quality.fk_orphans(fact, s.dim_category, "category_id").select(
-            "ticket_id", F.lit("category_id").alias("fk_column"), F.col("category_id").alias("key_value")),
-        quality.fk_orphans(fact, s.dim_channel, "channel_id").select(
-            "ticket_id", F.lit("channel_id").alias("fk_column"), F.col("channel_id").alias("key_value")),
-        # against the agent export *before* the Unassigned member is added
-        quality.fk_orphans(fact, fixtures.dim_agent_base(spark, d), "agent_id").select(
-            "ticket_id", F.lit("agent_id").alias("fk_column"), F.col("agent_id").alias("key_value")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    # the agents as exported, before the Unassigned member is added
+    dims = {"category_id": s.dim_category, "channel_id": s.dim_channel, "agent_id": fixtures.dim_agent_base(spark, d)}
+    found = quality.fk_orphan_rows(s.fact, dims)
+    return found.withColumn("key_value", F.col("key_value").cast("int"))
+
+
+def dq_quarantine(spark, d):
+    """The export with some ids, times and categories spoilt; every spoilt row is kept apart with its reasons."""
+    raw = _raw(spark, d)
+    n = F.col("ticket_id").cast("long")
+    spoilt = raw.withColumns({
+        "ticket_id": F.when(n % 97 == 0, F.concat(F.lit("T-"), "ticket_id")).otherwise(F.col("ticket_id")),
+        "opened_at": F.when(n % 89 == 0, F.lit("soon")).otherwise(F.col("opened_at")),
+        "category_id": F.when(n % 83 == 0, F.lit("x")).otherwise(F.col("category_id")),
+        "agent_id": F.when(n % 79 == 0, F.lit("A17")).when(n % 73 == 0, F.lit("NaN")).otherwise(F.col("agent_id"))})
+    return cleaning.quarantine(spoilt).select("ingest_seq", F.col("ticket_id").alias("ticket_text"),
+                                              F.array_join("reasons", ",").alias("reasons"))
 
 
 def dq_unparsed(spark, d):
@@ -284,7 +295,7 @@ def j_enriched(spark, d):
 # ------------------------------------------------------------ filter surface
 
 def t_load(spark, d):
-    return filters.t_load(_star(spark, d), persist=True)
+    return filters.t_load(_star(spark, d))
 
 
 def t_filter(spark, d):
@@ -295,18 +306,50 @@ def _on_filtered(fn):
     return lambda spark, d: fn(_filtered(spark, d))
 
 
+def _on_panel(fn):
+    return lambda spark, d: fn(_panel(spark, d))
+
+
 def _on_star(fn):
     return lambda spark, d: fn(_star(spark, d))
 
 
+# ------------------------------------------------------------ marts
+
+def _mart_panel(fn):
+    """A filter panel from the daily mart."""
+    def run(spark, d):
+        s = _star(spark, d)
+        return fn(M.mart_filter(M.mart_enriched(M.build_mart(s.fact), s), REGISTRY_FILTER))
+    return run
+
+
+MART_REGISTRY = {
+    "mart_a1_kpis": _on_star(lambda s: M.mart_a1_kpis(M.build_mart(s.fact))),
+    "mart_b1_category": _on_star(lambda s: M.mart_b1_category(M.build_mart(s.fact), s)),
+    "mart_b4_buckets": _on_star(lambda s: M.hist_b4_buckets(M.build_hours_histogram(s.fact))),
+    "mart_c2_monthly_sla": _on_star(lambda s: M.mart_c2_monthly_sla(M.build_mart(s.fact))),
+    "mart_c4_salary_window": _on_star(lambda s: M.mart_c4_salary_window(M.build_mart(s.fact))),
+    "mart_d2_team": _on_star(lambda s: M.mart_d2_team(M.build_agent_mart(s.fact), s)),
+    "mart_e1_incident_volume": _on_star(lambda s: M.mart_e1_incident_volume(M.build_mart(s.fact))),
+    **{f"mart_{k}": _mart_panel(getattr(M, f"mart_{k}")) for k in (
+        "t_kpis", "t_category", "t_monthly", "t_channel_counts", "t_root_causes8", "t_match_count")},
+}
+
+
 # ------------------------------------------------------------ streaming
 
 def st_clean_ingest(spark, d):
+    """Four drops at least, later copies before earlier ones, one file a micro-batch."""
     base = scratch_path(spark, "ingest")
-    sinks.write_raw_csv(_raw(spark, d), f"{base}/source")
-    q = ingest.start_clean_ingest(spark, f"{base}/source", f"{base}/sink", f"{base}/checkpoint", AS_OF)
+    raw = _raw(spark, d)
+    for k in range(4):
+        drop = raw.where(F.pmod(F.col("ticket_id").cast("long") - F.col("ingest_seq"), F.lit(4)) == k)
+        sinks.write_raw_csv(drop.coalesce(1), f"{base}/source/drop{k}")
+    q = ingest.start_clean_ingest(spark, f"{base}/source/*", f"{base}/sink", f"{base}/checkpoint", AS_OF,
+                                  max_files_per_trigger=1)
     q.awaitTermination()
-    return spark.read.schema(FACT).parquet(f"{base}/sink")
+    return ingest.read_ingested(spark, f"{base}/sink")
 
 
 def st_at_risk(spark, d):
@@ -331,8 +374,13 @@ def v1_catalog(spark, d):
     A query that fails to plan or run fails this job (the reference only
     printed failures)."""
     s = _star(spark, d)
-    parts = [fn(s).agg(F.count(F.lit(1)).alias("result_rows")).select(
-        F.lit(key).alias("query_key"), "result_rows") for key, fn in Q.QUERIES.items()]
+    parts = []
+    for key, fn in Q.QUERIES.items():
+        answer = fn(s)
+        # the digest keeps every measure in the plan; without it only the rows would be counted
+        digest = F.bit_xor(F.xxhash64(*answer.columns))
+        parts.append(answer.agg(F.count(F.lit(1)).alias("n"), digest.alias("digest")).select(
+            F.lit(key).alias("query_key"), F.when(F.col("digest").isNotNull(), F.col("n")).otherwise(F.lit(0)).alias("result_rows")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -346,7 +394,7 @@ def more_registry():
         "sk_unassigned": sk_unassigned, "sk_detail_csv": sk_detail_csv,
         "sc_star": sc_star, "dq_pk_unique": dq_pk_unique, "dq_not_null": dq_not_null,
         "dq_domain": dq_domain, "dq_fk": dq_fk, "dq_unparsed": dq_unparsed, "dq_counts": dq_counts,
-        "dq_gate": dq_gate, "dq_reconcile": dq_reconcile,
+        "dq_gate": dq_gate, "dq_quarantine": dq_quarantine, "dq_reconcile": dq_reconcile,
         "cl_timestamp": cl_timestamp, "cl_ts_fallback": cl_ts_fallback, "cl_dedup_first": cl_dedup_first,
         "cl_customer": cl_customer, "cl_agent_default": cl_agent_default, "cl_resolution": cl_resolution,
         "cl_breach": cl_breach, "cl_iso_format": cl_iso_format, "cl_project_sort": cl_project_sort,
@@ -358,14 +406,14 @@ def more_registry():
         "p_kpis": _on_star(X.p_kpis), "p_breach_by_category": _on_star(X.p_breach_by_category),
         "p_monthly": _on_star(X.p_monthly), "p_root_causes8": _on_star(X.p_root_causes8),
         "p_incident": _on_star(X.p_incident), "bd_sanity": _on_star(X.bd_sanity),
-        "t_load": t_load, "t_bounds": lambda spark, d: filters.t_bounds(_star(spark, d).enriched()),
-        "t_distinct_lists": lambda spark, d: filters.t_distinct_lists(_star(spark, d).enriched()),
+        "t_load": t_load, "t_bounds": lambda spark, d: filters.t_bounds(_star(spark, d).fact),
+        "t_distinct_lists": _on_star(filters.t_distinct_lists),
         "t_filter": t_filter,
-        "t_kpis": _on_filtered(filters.t_kpis), "t_category": _on_filtered(filters.t_category),
-        "t_monthly": _on_filtered(filters.t_monthly),
-        "t_channel_counts": _on_filtered(filters.t_channel_counts),
-        "t_root_causes8": _on_filtered(filters.t_root_causes8), "t_drill": _on_filtered(filters.t_drill),
-        "t_match_count": _on_filtered(filters.t_match_count),
+        "t_kpis": _on_panel(filters.t_kpis), "t_category": _on_panel(filters.t_category),
+        "t_monthly": _on_panel(filters.t_monthly),
+        "t_channel_counts": _on_panel(filters.t_channel_counts),
+        "t_root_causes8": _on_panel(filters.t_root_causes8), "t_drill": _on_filtered(filters.t_drill),
+        "t_match_count": _on_panel(filters.t_match_count),
         "r_avg_vs_target": _on_star(R.r_avg_vs_target), "r_group_top_cause": _on_star(R.r_group_top_cause),
         "r_group_share": _on_star(R.r_group_share), "r_top4_sum": _on_star(R.r_top4_sum),
         "r_unassigned_vs_team": _on_star(R.r_unassigned_vs_team),
@@ -373,5 +421,6 @@ def more_registry():
         "r_target_gap": _on_star(R.r_target_gap), "v1_catalog": v1_catalog,
         "st_clean_ingest": st_clean_ingest, "st_at_risk": st_at_risk,
         "st_unassigned_escalation": st_unassigned_escalation, "pii_mask": pii_mask,
+        **MART_REGISTRY,
     }
     return reg

@@ -1,16 +1,14 @@
-"""An additive mart from which the catalog's aggregates roll up.
-
-Grain: (day, category, channel, agent, incident flag, status, breach flag,
-root cause), with additive measures only -- ticket count, exact DECIMAL
-hour and amount sums and their non-NULL counts.  Every question that is a
-sum/count/ratio of sums over those keys (all of the catalog except the
-median and the buckets, which need the hour distribution) re-aggregates the
-mart instead of rescanning the fact; distinct opening days come from the
-day key.  The hour distribution is kept as a second additive table,
-``(status, resolution_hours) -> tickets``.
-
-Both are plain ``groupBy`` aggregates (partial aggregation before the
-shuffle), written like any other table.
+"""Additive marts from which part of the catalog and the filter panels roll up.
+
+The daily mart's grain is (day, category, channel, incident flag, status,
+breach flag, root cause): bounded by the calendar and the dimensions, so it
+stops growing while tickets keep coming.  Agents, who grow with the data, have
+a mart of their own by month, and the hour distribution is a third table.
+Measures are additive (ticket count, exact DECIMAL hour and amount sums and
+their non-NULL counts).  From them come the questions A1, B1, C2, C4, E1 (daily),
+D2 (agents) and B4 (hours), and the filter panels.
+
+All are plain ``groupBy`` aggregates with partial aggregation before the shuffle.
 """
 
 from __future__ import annotations
@@ -22,12 +20,19 @@ from queuelens.functions import sla
 from queuelens.plans import queries as Q
 from queuelens.plans.model import Star
 
-MART_KEYS = ["day", "category_id", "channel_id", "agent_id", "is_incident_day", "status",
-             "sla_breached", "root_cause"]
+MART_KEYS = ["day", "category_id", "channel_id", "is_incident_day", "status", "sla_breached", "root_cause"]
 
 
 def build_mart(fact: DataFrame) -> DataFrame:
-    return fact.groupBy(F.to_date("opened_at").alias("day"), *MART_KEYS[1:]).agg(
+    return _additive(fact, F.to_date("opened_at").alias("day"), *MART_KEYS[1:])
+
+
+def build_agent_mart(fact: DataFrame) -> DataFrame:
+    return _additive(fact, sla.month_key("opened_at").alias("month"), "agent_id", "sla_breached")
+
+
+def _additive(fact: DataFrame, *keys) -> DataFrame:
+    return fact.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("tickets"),
         F.sum(F.col("resolution_hours").cast(Q.HOURS_DEC)).alias("hours_sum"),
         F.count("resolution_hours").alias("hours_n"),
@@ -83,8 +88,8 @@ def mart_c4_salary_window(mart: DataFrame) -> DataFrame:
     return r.select("period", Q.n_().alias("ticket_count"), Q.tickets_per_day(1).alias("avg_tickets_per_day"))
 
 
-def mart_d2_team(mart: DataFrame, star: Star) -> DataFrame:
-    m = _by_dimension(mart, star.dim_agent, "agent_id", ["team"])
+def mart_d2_team(agents: DataFrame, star: Star) -> DataFrame:
+    m = _by_dimension(agents, star.dim_agent, "agent_id", ["team"])
     return m.select("team", Q.n_().alias("ticket_count"), Q.avg_hours_of(1).alias("avg_resolution_hours"),
                     Q.breach_pct_of(1).alias("sla_breach_pct"))
 
@@ -111,10 +116,7 @@ def mart_enriched(mart: DataFrame, star: Star) -> DataFrame:
     from queuelens.operators.joins import join_dim
 
     m = join_dim(mart, star.dim_category.select("category_id", "category_name"), "category_id")
-    m = join_dim(m, star.dim_channel.select("channel_id", "channel_name"), "channel_id")
-    # the detail model keeps only tickets with an agent member: same inner join,
-    # on the agent key alone
-    return m.join(star.dim_agent.select("agent_id"), "agent_id", "left_semi")
+    return join_dim(m, star.dim_channel.select("channel_id", "channel_name"), "channel_id")
 
 
 def mart_filter(menr: DataFrame, f) -> DataFrame:

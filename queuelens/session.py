@@ -61,6 +61,8 @@ def shared_dir(spark: SparkSession) -> str:
         ctx_dir = spark.sparkContext.getCheckpointDir()
         if ctx_dir:
             d = ctx_dir
+    if not d and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="queuelens-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
@@ -70,5 +72,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique path under the shared folder (never reused)."""
-    return "/".join([shared_dir(spark), "queuelens", *parts, uuid.uuid4().hex])
+    """A fresh, unique path under the shared folder (never reused); see :func:`drop_scratch`."""
+    return "/".join([shared_dir(spark), "queuelens", spark.sparkContext.applicationId, *parts, uuid.uuid4().hex])
+
+
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the folder ``staged`` in the place of ``path``: two renames on their file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
+    fs = dst.getFileSystem(conf)
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(src, dst):
+        if had:
+            fs.rename(old, dst)
+        raise OSError(f"cannot publish {staged} as {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete every table that :func:`scratch_path` handed out to this application."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/queuelens/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(conf).delete(folder, True)

@@ -63,6 +63,11 @@ def _orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey, "inner").drop("c_custkey")
 
 
+def channel_number() -> F.Column:
+    """The number before the dash of an order priority."""
+    return F.substring_index("o_orderpriority", "-", 1).cast("int")
+
+
 def target_hours(nationkey: F.Column) -> F.Column:
     return F.element_at(F.array(*[F.lit(h) for h in TARGET_HOURS]),
                         (nationkey % len(TARGET_HOURS) + 1).cast("int"))
@@ -80,9 +85,9 @@ def _projected(joined: DataFrame) -> DataFrame:
     status = F.when(is_open, F.lit("Open")).otherwise(F.lit("Closed"))
     t = joined.select(
         "ticket_id", "l_suppkey", *([c for c in ["ingest_seq"] if c in joined.columns]),
-        F.concat(F.lit("CUST"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("customer_id"),
+        F.format_string("CUST%06d", "o_custkey").alias("customer_id"),
         F.col("c_nationkey").cast("int").alias("category_id"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("channel_id"),
+        channel_number().alias("channel_id"),
         F.when(F.col("ticket_id") % UNASSIGNED_MODULUS == 0, F.lit(-1))
          .otherwise(F.col("l_suppkey")).cast("int").alias("agent_id"),
         F.col("l_extendedprice").alias("transaction_amount_inr"),
@@ -119,7 +124,8 @@ def raw_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messy export: all copies, text fields, ``ingest_seq`` per ticket."""
     from queuelens.schemas import RAW_COLUMNS
 
-    seq = sequence_within_key(_lines(spark, sf_dir), ["ticket_id"], INGEST_ORDER, "ingest_seq")
+    seq = sequence_within_key(_lines(spark, sf_dir), ["ticket_id"], INGEST_ORDER, "ingest_seq",
+                              F.trunc("l_shipdate", "month"))
     joined = seq.join(_orders_with_customer(spark, sf_dir),
                       seq.l_orderkey == F.col("o_orderkey"), "inner")
     t = _projected(joined)
@@ -163,7 +169,7 @@ def dim_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One row per priority: a partial aggregate, so only a handful of rows
     # per map task cross the shuffle.
     o = read_table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
-    return o.select(F.substring("o_orderpriority", 1, 1).cast("int").alias("channel_id"),
+    return o.select(channel_number().alias("channel_id"),
                     F.col("o_orderpriority").alias("channel_name"))
 
 

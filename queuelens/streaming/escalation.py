@@ -7,20 +7,16 @@
 
 Batch forms evaluate the rule at an ``as_of`` instant over the fact (pure
 filters, so they parallelize over the fact and push down to the scan).  The
-stream form turns the fact into open/close events and keeps one small state
-per open ticket with an event-time timeout (``applyInPandasWithState``): the
-timer fires at opening + lead time unless a close event arrives first.
+stream form turns the fact into open/close events and joins them, stream to
+stream: an open without a close in its lead time escalates.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from queuelens.functions import sla
 
@@ -72,66 +68,31 @@ def ticket_events(fact: DataFrame) -> DataFrame:
     return opened.unionByName(closed)
 
 
-ESCALATION_SCHEMA = "ticket_id long, opened_at timestamp, escalate_at timestamp"
-# Per open ticket: opening and earliest close instant (epoch ms, -1 = not seen yet).
-STATE_SCHEMA = "opened_ms long, closed_ms long"
-
-
-def _empty() -> pd.DataFrame:
-    return pd.DataFrame({"ticket_id": pd.Series(dtype="int64"),
-                         "opened_at": pd.Series(dtype="datetime64[ns]"),
-                         "escalate_at": pd.Series(dtype="datetime64[ns]")})
-
-
-def _escalate(lead_ms: int):
-    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ticket_id = int(key[0])
-        if state.hasTimedOut:
-            opened_ms, closed_ms = state.get
-            state.remove()
-            due_ms = opened_ms + lead_ms
-            if opened_ms >= 0 and not (0 <= closed_ms <= due_ms):
-                yield pd.DataFrame({"ticket_id": [ticket_id],
-                                    "opened_at": [pd.Timestamp(opened_ms, unit="ms")],
-                                    "escalate_at": [pd.Timestamp(due_ms, unit="ms")]})
-            return
-        opened_ms, closed_ms = state.get if state.exists else (-1, -1)
-        for pdf in pdfs:
-            ms = pd.to_datetime(pdf["event_time"]).astype("int64") // 1_000_000
-            opens = ms[pdf["event"] == "open"]
-            closes = ms[pdf["event"] == "close"]
-            if len(opens):
-                opened_ms = int(opens.min())
-            if len(closes):
-                c = int(closes.min())
-                closed_ms = c if closed_ms < 0 else min(closed_ms, c)
-        wm = state.getCurrentWatermarkMs()
-        if opened_ms >= 0 and 0 <= closed_ms <= opened_ms + lead_ms:
-            state.remove()                      # resolved before the escalation instant
-        else:
-            state.update((opened_ms, closed_ms))
-            due = opened_ms + lead_ms if opened_ms >= 0 else wm
-            state.setTimeoutTimestamp(max(due, wm + 1))
-        yield _empty()
-    return fn
-
-
 def escalation_stream(events: DataFrame, lead_minutes: int, watermark_delay: str = "1 hour") -> DataFrame:
-    """Stream form: emit a ticket when its timer (opening + lead) passes the
-    watermark without a close event before the due instant."""
+    """Stream form: (ticket_id, opened_at, escalate_at) of tickets without a close within the lead time.
+
+    A stream-stream left outer join of opens to the closes between opening and
+    opening + lead; an open is emitted without a partner once the watermark has
+    passed its escalation instant, so a close that arrives before its open, or
+    up to ``watermark_delay`` late, still counts.  State is bounded by lead
+    time and delay."""
     from queuelens.streaming.ingest import use_rocksdb_state
 
     use_rocksdb_state(events.sparkSession)
-    return (events.withWatermark("event_time", watermark_delay)
-            .groupBy("ticket_id")
-            .applyInPandasWithState(_escalate(lead_minutes * 60_000), ESCALATION_SCHEMA, STATE_SCHEMA,
-                                    "append", GroupStateTimeout.EventTimeTimeout))
+    timed = events.withWatermark("event_time", watermark_delay)
+    opens = timed.filter("event = 'open'").select("ticket_id", F.col("event_time").alias("opened_at"))
+    closes = timed.filter("event = 'close'").select(F.col("ticket_id").alias("closed_ticket"), F.col("event_time").alias("closed_at"))
+    lead = F.expr(f"INTERVAL {int(lead_minutes)} MINUTES")
+    in_time = ((F.col("ticket_id") == F.col("closed_ticket")) & (F.col("closed_at") >= F.col("opened_at"))
+               & (F.col("closed_at") <= F.col("opened_at") + lead))
+    return (opens.join(closes, in_time, "left_outer").filter(F.col("closed_ticket").isNull())
+            .select("ticket_id", "opened_at", (F.col("opened_at") + lead).alias("escalate_at")))
 
 
 def at_risk_stream(events: DataFrame, watermark_delay: str = "1 hour",
                    target_hours: int = AT_RISK_TARGET_HOURS,
                    lead_minutes: int = AT_RISK_LEAD_MINUTES) -> DataFrame:
-    """Stream form of st_at_risk: tickets on the ``target_hours`` SLA whose
-    escalation timer (opening + lead) fires before a close event."""
+    """Stream form of st_at_risk: tickets on the ``target_hours`` SLA without a
+    close between opening and opening + lead."""
     return escalation_stream(events.filter(F.col("sla_target_hours") == target_hours),
                              lead_minutes, watermark_delay)

@@ -45,7 +45,7 @@ def main() -> None:
         ("q_c4_salary_window: two-level distinct-day count", Q.q_c4_salary_window(star)),
         ("q_b3_root_causes: top-k", Q.q_b3_root_causes(star)),
         ("t_kpis over t_filter: pushed predicates, pruned months, checked broadcasts",
-         filters.t_kpis(filters.t_filter(filters.t_load(star, persist=False), f))),
+         filters.t_kpis(filters.t_filter(filters.t_load(star), f))),
         ("cl_pipeline: partial WindowGroupLimit before the dedup shuffle",
          cleaning.clean_pipeline(raw, fixtures.AS_OF)),
         ("ingest_seq: range exchange, one Python pass, broadcast carry table",

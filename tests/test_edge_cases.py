@@ -162,7 +162,7 @@ def test_gate_raises_on_duplicates(spark):
 
 
 def test_empty_selection_gives_zero_kpis(spark, small_star):
-    e = filters.t_load(small_star, persist=False)
+    e = filters.t_load(small_star)
     f = filters.t_filter(e, filters.TicketFilter(categories=[]))
     k = filters.t_kpis(f).first()
     assert k.total_tickets == 0 and k.sla_compliance_pct == 0.0 and k.avg_resolution_hours == 0.0
@@ -170,14 +170,14 @@ def test_empty_selection_gives_zero_kpis(spark, small_star):
 
 
 def test_half_open_range_means_full_bounds(spark, small_star):
-    e = filters.t_load(small_star, persist=False)
+    e = filters.t_load(small_star)
     full = filters.t_filter(e, filters.TicketFilter()).count()
     half = filters.t_filter(e, filters.TicketFilter(start=dt.date(1998, 1, 1), end=None)).count()
     assert full == half == e.count()
 
 
 def test_month_partition_predicate_is_added(spark, small_star):
-    e = filters.t_load(small_star, persist=False)
+    e = filters.t_load(small_star)
     f = filters.t_filter(e, filters.TicketFilter(start=dt.date(1998, 1, 1), end=dt.date(1998, 3, 31)))
     from tests.conftest import explain_text
 
@@ -210,7 +210,7 @@ def test_unparsed_rows_are_quarantined(spark):
     raw = spark.createDataFrame([(1, 7, "05/02/2026 16:03"), (1, 8, "not a time"), (2, 8, None)],
                                 "ingest_seq long, ticket_id long, opened_at string")
     parsed = cleaning.parse_timestamps(raw, cols=("opened_at",))
-    q = quality.unparsed_timestamps(raw, parsed, "opened_at").collect()
+    q = quality.unparsed_timestamps(raw, "opened_at").collect()
     assert [(r.ticket_id, r.ingest_seq, r.opened_at_text) for r in q] == [(8, 1, "not a time")]
     n = quality.unparsed_count(raw.withColumn("_ts", timestamps.parse_mixed_timestamp("opened_at")),
                                "opened_at", "_ts").first()[0]

@@ -20,7 +20,7 @@ def test_jobs_end_to_end(spark):
     sinks.write_dim_csv(fixtures.dim_agent_base(spark, SF_SMALL), f"{base}/agent")
 
     c = jobs.main(["clean", "--raw", f"{base}/raw", "--out", f"{base}/clean", "--as-of", fixtures.AS_OF], spark)
-    assert c == {"raw_rows": 6_000, "unparsed_opened_at": 0, "duplicates_removed": 1_401, "clean_rows": 4_599}
+    assert c == {"raw_rows": 6_000, "quarantined": 0, "unparsed_opened_at": 0, "duplicates_removed": 1_401, "clean_rows": 4_599}
 
     s = jobs.main(["star", "--clean", f"{base}/clean", "--category", f"{base}/category",
                    "--channel", f"{base}/channel", "--agent", f"{base}/agent", "--out", f"{base}/star"], spark)
@@ -36,3 +36,9 @@ def test_jobs_end_to_end(spark):
     assert m["mart_rows"] > 0
     daily = spark.read.parquet(f"{base}/mart/daily")
     assert daily.agg(F.sum("tickets")).first()[0] == 4_599
+    assert spark.read.parquet(f"{base}/mart/agents").agg(F.sum("tickets")).first()[0] == 4_599
+
+    choice = ["--star", f"{base}/star", "--start", "1998-01-01", "--end", "1998-12-31", "--channel", "1-URGENT"]
+    assert jobs.main(["panels", *choice, "--out", f"{base}/panels"], spark) == {"panels": 6}
+    n = int(spark.read.option("header", True).csv(f"{base}/panels/match_count").first()[0])
+    assert 0 < n == jobs.main(["export", *choice, "--out", f"{base}/detail"], spark)["rows"]

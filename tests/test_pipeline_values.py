@@ -52,4 +52,4 @@ def test_observed_counts_match(spark):
     sf_dir = "/root/testdata/sf0.001"
     m = cleaning.run_clean_pipeline(materialized_raw(spark, sf_dir), fixtures.AS_OF,
                                     scratch_path(spark, "observed_clean"))
-    assert m == {"raw_rows": 6_000, "unparsed_opened_at": 0, "duplicates_removed": 1_401, "clean_rows": 4_599}
+    assert m == {"raw_rows": 6_000, "quarantined": 0, "unparsed_opened_at": 0, "duplicates_removed": 1_401, "clean_rows": 4_599}

@@ -42,7 +42,7 @@ def test_fact_scan_is_pruned_to_needed_columns(star):
 
 def test_filter_pushes_to_parquet_and_prunes_months(star):
     import datetime as dt
-    e = filters.t_load(star, persist=False)
+    e = filters.t_load(star)
     f = filters.t_filter(e, filters.TicketFilter(start=dt.date(1997, 3, 1), end=dt.date(1997, 4, 30),
                                                  channels=["1-URGENT"]))
     p = plan_of(f)

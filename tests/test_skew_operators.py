@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from queuelens.operators import cleaning, median
 from queuelens.operators.sequence import sequence_within_key
+from tests.conftest import explain_text
 
 
 def _hot_key_frame(spark, n=6000, seed=7):
@@ -21,21 +22,21 @@ def _hot_key_frame(spark, n=6000, seed=7):
     return spark.createDataFrame(rows, "k long, o long, v double")
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 16])
-def test_sequence_equals_row_number_under_skew(spark, partitions):
+def test_sequence_equals_row_number_under_skew(spark):
     df = _hot_key_frame(spark)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o", "v")))
-    got = sequence_within_key(df, ["k"], ["o", "v"], "seq", num_partitions=partitions)
+    got = sequence_within_key(df, ["k"], ["o", "v"], "seq", F.floor(F.col("o") / 700))
     j = ref.join(got, ["k", "o", "v"])
     assert j.count() == df.count()
     assert j.filter(F.col("rn") != F.col("seq")).count() == 0
 
 
-def test_sequence_spreads_hot_key_over_partitions(spark):
-    df = _hot_key_frame(spark)
-    ranged = df.repartitionByRange(16, "k", "o", "v")
-    per_part = (ranged.filter(F.col("k") == 42).groupBy(F.spark_partition_id().alias("p")).count().collect())
-    assert len(per_part) > 1   # the hot key is not confined to one task
+def test_sequence_splits_a_hot_key_and_uses_no_python(spark):
+    df = _hot_key_frame(spark).withColumn("part", F.floor(F.col("o") / 700))
+    most = df.groupBy("k", "part").count().agg(F.max("count")).first()[0]
+    assert most < df.filter("k = 42").count() / 5
+    plan = explain_text(sequence_within_key(df, ["k"], ["o", "v"], "seq", F.col("part")))
+    assert "Pandas" not in plan and "Python" not in plan and "SinglePartition" not in plan
 
 
 def test_dedup_keeps_minimum_sequence_under_skew(spark):
@@ -53,33 +54,3 @@ def test_upper_median_matches_sorted_list(spark, seed):
     df = spark.createDataFrame([(v,) for v in vals], "h double")
     want = sorted(vals)[len(vals) // 2]
     assert median.upper_median(df, "h").first()[0] == want
-
-
-def test_sequence_on_parquet_input_reuses_one_range_exchange(spark):
-    from queuelens.sources import fixtures
-    from tests.conftest import SF_ORACLE, explain_text
-
-    li = fixtures._lines(spark, SF_ORACLE)
-    seq = sequence_within_key(li, ["ticket_id"], fixtures.INGEST_ORDER, "seq", num_partitions=8)
-    ref = li.withColumn("rn", F.row_number().over(Window.partitionBy("ticket_id").orderBy(*fixtures.INGEST_ORDER)))
-    j = ref.join(seq, ["ticket_id", *fixtures.INGEST_ORDER])
-    assert j.count() == li.count() and j.filter(F.col("rn") != F.col("seq")).count() == 0
-    seq.collect()
-    plan = explain_text(seq)
-    assert "ReusedExchange" in plan and plan.split("Initial Plan")[0].count("MapInPandas") == 1
-
-
-def test_sequence_without_exchange_reuse_checkpoints(spark):
-    from queuelens.sources import fixtures
-    from tests.conftest import SF_SMALL
-
-    li = fixtures._lines(spark, SF_SMALL)
-    spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        seq = sequence_within_key(li, ["ticket_id"], fixtures.INGEST_ORDER, "seq", num_partitions=8)
-        ref = li.withColumn("rn", F.row_number().over(
-            Window.partitionBy("ticket_id").orderBy(*fixtures.INGEST_ORDER)))
-        j = ref.join(seq, ["ticket_id", *fixtures.INGEST_ORDER])
-        assert j.count() == li.count() and j.filter(F.col("rn") != F.col("seq")).count() == 0
-    finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
