@@ -113,18 +113,18 @@ def sk_clean_csv(spark, d):
 
 
 SQL_VIEW_TEXT = """
-SELECT c.category_group, COUNT(*) AS breached_tickets,
-       ROUND(CAST(SUM(CAST(f.transaction_amount_inr AS DECIMAL(18,2))) AS DOUBLE), 2) AS disputed_value_inr
-FROM fact_complaints f JOIN dim_category c ON f.category_id = c.category_id
-WHERE f.sla_breached = :breached
-GROUP BY c.category_group
+SELECT d.category_group, count(DISTINCT f.customer_id) AS customers, min(f.opened_at) AS first_opened
+FROM tickets f LEFT SEMI JOIN busy b ON f.category_id = b.category_id JOIN categories d ON d.category_id = f.category_id
+WHERE f.is_incident_day = :incident
+GROUP BY d.category_group
 """
 
 
 def src_sql_view(spark, d):
     s = _star(spark, d)
     return files.sql_view(spark, SQL_VIEW_TEXT,
-                          {"fact_complaints": s.fact, "dim_category": s.dim_category}, {"breached": 1})
+                          {"tickets": s.fact, "categories": s.dim_category,
+                           "busy": s.fact.groupBy("category_id").count().where("count > 100")}, {"incident": 0})
 
 
 def sk_star(spark, d):

@@ -56,7 +56,7 @@ RAW_FACT = T.StructType(
 
 RAW_COLUMNS = [f.name for f in RAW_FACT.fields]
 
-# The wide detail model: fact joined to its three dimensions.
+# The wide detail model, fact joined to its three dimensions.
 ENRICHED_COLUMNS = [
     "ticket_id", "customer_id", "category_name", "category_group",
     "channel_name", "agent_name", "team", "transaction_amount_inr",
@@ -64,7 +64,7 @@ ENRICHED_COLUMNS = [
     "sla_target_hours", "sla_breached", "root_cause", "is_incident_day",
 ]
 
-# Drill-through / CSV export columns.
+# Drill-through / CSV export columns.
 DETAIL_COLUMNS = [
     "ticket_id", "customer_id", "category_name", "channel_name", "team",
     "agent_name", "opened_at", "status", "resolution_hours",
