@@ -154,11 +154,12 @@ def test_orphan_keys_are_aggregated(spark):
 
 
 def test_gate_raises_on_duplicates(spark):
-    df = spark.createDataFrame([(1, T0, "Open", 0, 0), (1, T0, "Open", 0, 0)],
-                               "ticket_id long, opened_at timestamp_ntz, status string, "
-                               "sla_breached int, is_incident_day int")
-    with pytest.raises(quality.DataQualityError):
-        quality.gate(df)
+    row = (1, "CUST000001", 1, 1, T0, "Open", 24, 0, 0)
+    schema = ("ticket_id long, customer_id string, category_id int, channel_id int, opened_at timestamp_ntz, "
+              "status string, sla_target_hours int, sla_breached int, is_incident_day int")
+    assert quality.gate(spark.createDataFrame([row], schema)).count() == 1
+    with pytest.raises(quality.DataQualityError, match="duplicate_keys"):
+        quality.gate(spark.createDataFrame([row, row], schema))
 
 
 def test_empty_selection_gives_zero_kpis(spark, small_star):
