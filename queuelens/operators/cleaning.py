@@ -117,23 +117,26 @@ def _unreadable(col: str, typed: F.Column) -> F.Column:
 MISSING_TEXTS = ("", "nan", "none", "null", "na", "n/a")
 
 
-def rejects(raw: DataFrame) -> DataFrame:
+def rejects(raw: DataFrame, keep_times: bool = False) -> DataFrame:
     """``raw`` plus ``reasons``: why a row cannot be loaded (an empty array if it can).
 
     A row is rejected when its ticket id or opening time is missing or
     unreadable, or any other typed field has text that does not read as its
     type.  Rejected rows take no part in the dedup, so that rows without a
-    readable key are kept apart instead of being merged into one.
+    readable key are kept apart instead of being merged into one.  With
+    ``keep_times`` the parsed times stay as ``_opened_at`` and ``_closed_at``.
     """
+    raw = raw.withColumns({f"_{c}": timestamps.parse_mixed_timestamp(c) for c in ("opened_at", "closed_at")})
     number = {c: F.col(c).try_cast("double") for c in ("transaction_amount_inr", "resolution_hours")}
     whole = {c: F.col(c).try_cast("double").try_cast("int") for c in ("category_id", "channel_id", "agent_id", "sla_target_hours")}
     flags = {c: _flag01(c) for c in ("sla_breached", "is_incident_day")}
-    times = {c: timestamps.parse_mixed_timestamp(c) for c in ("opened_at", "closed_at")}
+    times = {c: F.col(f"_{c}") for c in ("opened_at", "closed_at")}
     rules = {"ticket_id": F.col("ticket_id").try_cast("long").isNull(),
              **{c: _unreadable(c, v) for c, v in {**whole, **number, **flags, **times}.items()}}
     rules["opened_at"] = times["opened_at"].isNull()
-    return raw.withColumn("reasons", F.filter(
+    judged = raw.withColumn("reasons", F.filter(
         F.array(*[F.when(bad, F.lit(c)) for c, bad in rules.items()]), lambda x: x.isNotNull()))
+    return judged if keep_times else judged.drop("_opened_at", "_closed_at")
 
 
 def quarantine(raw: DataFrame) -> DataFrame:
@@ -157,10 +160,10 @@ def clean_pipeline(raw: DataFrame, as_of: str | _dt.datetime, *, gate: bool = Fa
     return df.orderBy("ticket_id") if sort else df
 
 
-def clean_typed(typed: DataFrame, as_of: str | _dt.datetime) -> DataFrame:
-    """Dedup first, then parse: only the copy that stays has its times parsed."""
+def clean_typed(typed: DataFrame, as_of: str | _dt.datetime, parsed: bool = False) -> DataFrame:
+    """Dedup first, then parse (unless the times are parsed already): only the copy that stays has its times parsed."""
     df = dedup_first(typed)
-    df = parse_timestamps(df)
+    df = df if parsed else parse_timestamps(df)
     df = normalize_customer(df)
     df = default_agent(df)
     df = recompute_resolution(df)
@@ -183,13 +186,14 @@ def run_clean_pipeline(raw: DataFrame, as_of: str | _dt.datetime, path: str,
 
     spark = raw.sparkSession
     aside = scratch_path(spark, "typed")
-    judged = rejects(raw)
+    judged = rejects(raw, keep_times=True)
     judged.withColumn("rejected", F.size("reasons") > 0).write.partitionBy("rejected").parquet(aside)
     read = spark.read.schema(judged.schema.add("rejected", "boolean")).parquet(aside)
     good, bad = read.where("not rejected"), read.where("rejected")
     out = quarantine_path or f"{path.rstrip('/')}_quarantine"
-    bad.drop("rejected").write.mode("overwrite").parquet(out)
-    quality.write_then_gate(clean_typed(type_raw(good.drop("reasons", "rejected")), as_of), path)
+    bad.drop("rejected", "_opened_at", "_closed_at").write.mode("overwrite").parquet(out)
+    timed = type_raw(good).withColumns({c: F.col(f"_{c}") for c in ("opened_at", "closed_at")})
+    quality.write_then_gate(clean_typed(timed, as_of, parsed=True), path)
     rows = {r["rejected"]: r["count"] for r in read.groupBy("rejected").count().collect()}
     clean = spark.read.parquet(path).count()
     unparsed = bad.where(F.array_contains("reasons", "opened_at") & F.col("opened_at").isNotNull()).count()
