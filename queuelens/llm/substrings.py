@@ -25,6 +25,7 @@ from hashlib import sha256
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ PREFIX = 6        # words of a short prefix
 GROUP = 10_000    # suffixes of a prefix that are held together
 CACHED = 300_000  # words whose hashes a Python worker remembers
 LAST = 2**63 - 1  # stands for a null id: last in order
+NONE = np.zeros(0, np.int64)
+TOGETHER = 8192   # suffixes that are compared in one step
 
 KEY = ["doc", "tie"]
 
@@ -65,15 +68,12 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def anchors(prefixes: np.ndarray, n_windows: int) -> np.ndarray:
-    """Place of the leftmost least prefix inside every window; never decreasing."""
-    best = prefixes[:n_windows].copy()
-    place = np.zeros(n_windows, np.int64)
-    for j in range(1, WINDOW - PREFIX + 1):
-        other = prefixes[j:j + n_windows]
-        less = other < best
-        best[less] = other[less]
-        place[less] = j
-    return place + np.arange(n_windows)
+    """Place of the leftmost least prefix (by its upper 60 bits) inside every window; never decreasing."""
+    upper = prefixes & ~np.uint64(15)
+    best = upper[:n_windows].copy()
+    for j in range(1, WINDOW - PREFIX + 1):   # at most 15 places: the offset fits in the lower bits and breaks ties
+        np.minimum(best, upper[j:j + n_windows] | np.uint64(j), out=best)
+    return (best & np.uint64(15)).astype(np.int64) + np.arange(n_windows)
 
 
 class Suffixes:
@@ -137,13 +137,17 @@ def _repeated_prefixes(keyed: DataFrame, classes: DataFrame) -> DataFrame:
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = _Hashes()
         for pdf in batches:
-            out = []
-            for doc, tie, text in zip(pdf["doc"], pdf["tie"], pdf["text"], strict=True):
+            prefixes, counts = [NONE], [NONE]
+            for text in pdf["text"]:
                 prefix, n = np.unique(Suffixes(text, known).prefix, return_counts=True)
-                out.append(pd.DataFrame({"prefix": prefix, "doc": doc, "packed": tie << 20 | np.minimum(n, 0xFFFFF)}))
-            yield pd.concat(out) if out else pd.DataFrame({x: np.zeros(0, np.int64) for x in ("prefix", "doc", "packed")})
-
-    found = keyed.select(*KEY, F.col("text").cast("binary").alias("text")).mapInPandas(each, "prefix long, doc long, packed long")
+                prefixes.append(prefix)
+                counts.append(np.minimum(n, 0xFFFFF))
+            sizes = list(map(len, prefixes[1:]))
+            yield pd.DataFrame({"prefix": np.concatenate(prefixes), "doc": np.repeat(pdf["doc"].to_numpy(), sizes),
+                                "packed": np.repeat(pdf["tie"].to_numpy() << 20, sizes) | np.concatenate(counts)})
+
+    found = written(keyed.select(*KEY, F.col("text").cast("binary").alias("text")).mapInPandas(
+        each, "prefix long, doc long, packed long"), "substr_found")
     n = F.col("packed").bitwiseAND(0xFFFFF)
     counts = found.select("prefix", n.alias("n")).groupBy("prefix").agg(F.sum("n").alias("n")).where("n > 1")
     repeated = written(counts.select("prefix", (F.col("n") > GROUP).alias("long")), "substr_prefixes")
@@ -173,14 +177,19 @@ def _suffixes(with_text: DataFrame) -> DataFrame:
         leaves: dict[tuple[int, int], tuple[int, int, int]] = {}   # (prefix, window) -> first leaf seen in this task
         names = [x.split()[0] for x in SUFFIX.split(", ")]
         for pdf in batches:
-            out = []
+            out: list[tuple] = []
+            sizes, prefixes, starts, ns, hashes = [], [NONE], [NONE], [NONE], []
             for doc, tie, short, long, blob in zip(pdf["doc"], pdf["tie"], pdf["short"], pdf["long"], pdf["blob"], strict=True):
                 s = Suffixes(_expand(blob), known)
                 w = s.windows().view(np.int64)
-                for k in np.flatnonzero(np.isin(s.prefix, short)).tolist():
-                    a, b = int(s.first[k]), int(s.behind[k])
-                    p = int(s.prefix[k])
-                    out.append((p, p, doc, tie, a, b - a, SHORT, w[a:b].tobytes()))
+                use = np.flatnonzero(np.isin(s.prefix, short))
+                first, behind = s.first[use], s.behind[use]
+                sizes.append(len(use))
+                prefixes.append(s.prefix[use])
+                starts.append(first)
+                ns.append(behind - first)
+                raw = w.tobytes()
+                hashes += [raw[a:b] for a, b in zip((8 * first).tolist(), (8 * behind).tolist(), strict=True)]
                 for k in (np.flatnonzero(np.isin(s.prefix, long)).tolist() if len(long) else []):
                     a, b = int(s.first[k]), int(s.behind[k])
                     p = int(s.prefix[k])
@@ -189,7 +198,12 @@ def _suffixes(with_text: DataFrame) -> DataFrame:
                         node, leaf = (p, int(w[i])), (doc, tie, i)
                         if leaf < leaves.get(node, (LAST, LAST, LAST)):
                             leaves[node] = leaf
-            yield pd.DataFrame(out, columns=names)
+            prefix = np.concatenate(prefixes)
+            yield pd.DataFrame({"route": prefix, "prefix": prefix, "doc": np.repeat(pdf["doc"].to_numpy(), sizes),
+                                "tie": np.repeat(pdf["tie"].to_numpy(), sizes), "start": np.concatenate(starts),
+                                "n": np.concatenate(ns).astype(np.int32), "kind": np.int32(SHORT), "hashes": hashes})
+            if out:
+                yield pd.DataFrame(out, columns=names)
         for chunk in range(0, len(leaves), 10_000):
             part = list(leaves.items())[chunk:chunk + 10_000]
             yield pd.DataFrame([(h, p, *leaf, 1, LEAF, np.int64(h).tobytes()) for (p, h), leaf in part], columns=names)
@@ -199,9 +213,25 @@ def _suffixes(with_text: DataFrame) -> DataFrame:
 
 def _marks(suffixes: DataFrame) -> DataFrame:
     """doc, tie, start, mask, stays: windows to remove, and single windows of long prefixes that stay."""
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, open_nodes = None, set()   # the group that the next batch may go on with, and its nodes
-        for pdf in batches:
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= TOGETHER:
+                yield pa.Table.from_batches(held).to_pandas()
+                held = []
+        if held:
+            yield pa.Table.from_batches(held).to_pandas()
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pdf in compared(together(batches)):
+            yield pa.RecordBatch.from_pandas(pdf.astype({"mask": "int64", "stays": bool}), schema=schema, preserve_index=False)
+
+    schema = pa.schema([("doc", pa.int64()), ("tie", pa.int64()), ("start", pa.int64()), ("mask", pa.int64()), ("stays", pa.bool_())])
+
+    def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, open_nodes = None, set()   # the group that the next frame may go on with, and its nodes
+        for pdf in frames:
             long = pdf[pdf["kind"] == LONG]
             yield pd.DataFrame({"doc": long["doc"], "tie": long["tie"], "start": long["start"],
                                 "mask": np.left_shift(np.int64(1), long["n"].to_numpy(np.int64)) - 1, "stays": False})
@@ -235,7 +265,7 @@ def _marks(suffixes: DataFrame) -> DataFrame:
                                 "mask": np.where(stays, 1, mask)[use], "stays": stays[use]})
 
     dealt = suffixes.repartition("route").sortWithinPartitions("prefix", "doc", "tie", "start")
-    return dealt.mapInPandas(each, "doc long, tie long, start long, mask long, stays boolean")
+    return dealt.mapInArrow(each, "doc long, tie long, start long, mask long, stays boolean")
 
 
 def _cut(with_marks: DataFrame) -> DataFrame:
