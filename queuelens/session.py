@@ -61,7 +61,8 @@ def shared_dir(spark: SparkSession) -> str:
         ctx_dir = spark.sparkContext.getCheckpointDir()
         if ctx_dir:
             d = ctx_dir
-    if not d and not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if not d and master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="queuelens-ckpt-")
