@@ -165,7 +165,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", pred: str =
         langs, scores = state["predict"](texts)
         return pd.DataFrame({"lang": langs, "score": scores})
 
-    return (docs.withColumn("__found", of(text_of(docs, text_col)))
+    # marked as not deterministic so that a filter and a column on it share one evaluation
+    return (docs.withColumn("__found", of.asNondeterministic()(text_of(docs, text_col)))
             .withColumns({pred: F.col("__found.lang"), score: F.col("__found.score")}).drop("__found"))
 
 
