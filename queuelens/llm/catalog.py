@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from queuelens.llm.bpe import op3_byte_bpe
 from queuelens.llm.chat import op4_chat_format
+from queuelens.llm.collocations import OP11_SQL, op11_collocations
 from queuelens.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from queuelens.llm.langid import op7_language_id
+from queuelens.llm.lexical import OP13_SQL, op13_lexical_search
+from queuelens.llm.minhash import OP12_SQL, op12_minhash
 from queuelens.llm.packing import op5_packing
 from queuelens.llm.secrets import op1_secret_scan
 from queuelens.llm.simhash import op10_simhash
@@ -24,9 +27,15 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
+    "op12_minhash": op12_minhash,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLES = {
     "op6_top_k": OP6_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op11_collocations": OP11_SQL,
+    "op12_minhash": OP12_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
