@@ -17,6 +17,18 @@ def text_of(df: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(df[text_col].cast("string"), F.lit(""))
 
 
+NO_ID = 2 ** 63 - 1   # a null id on its way through pandas, which would turn a column with nulls into floats
+
+
+def known_id(df: DataFrame, id_col: str = "doc_id") -> Column:
+    """The id as a long that is never null; see :func:`true_id`."""
+    return F.coalesce(df[id_col].cast("long"), F.lit(NO_ID))
+
+
+def true_id(col: str = "doc_id") -> Column:
+    return F.nullif(F.col(col), F.lit(NO_ID)).alias(col)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: ``df`` as a Parquet table in the cluster's shared folder.
 

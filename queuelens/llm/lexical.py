@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from queuelens.llm.common import small_arrow_batches, table, text_of, written
+from queuelens.llm.common import known_id, small_arrow_batches, table, text_of, true_id, written
 from queuelens.llm.treap import Treap
 
 TOP = 20
@@ -41,10 +41,10 @@ def item_terms(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found = [Counter(terms_of(t)) for t in pdf["text"]]
-            yield pd.DataFrame({"row": pdf["row"], "item_id": pdf["item_id"].astype("Int64"), "terms": [list(c) for c in found],
+            yield pd.DataFrame({"row": pdf["row"], "item_id": pdf["item_id"], "terms": [list(c) for c in found],
                                 "times": [list(c.values()) for c in found], "size": [len(c) for c in found]})
 
-    named = items.select(F.monotonically_increasing_id().alias("row"), items[item_col].cast("long").alias("item_id"),
+    named = items.select(F.monotonically_increasing_id().alias("row"), known_id(items, item_col).alias("item_id"),
                          text_of(items, text_col).cast("binary").alias("text"))
     return written(named.mapInPandas(each, "row long, item_id long, terms array<binary>, times array<long>, size long"), "items")
 
@@ -63,9 +63,9 @@ def postings(docs: DataFrame, vocabulary: dict[bytes, int], id_col: str, text_co
                     c = Counter(filter(known.__contains__, words))
                     rows.append((doc, len(words), np.fromiter(map(known.__getitem__, c), np.int32, len(c)).tobytes(),
                                  np.fromiter(c.values(), np.int32, len(c)).tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "terms", "times"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "terms", "times"])
 
-    named = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).cast("binary").alias("text"))
+    named = docs.select(known_id(docs, id_col).alias("doc_id"), text_of(docs, text_col).cast("binary").alias("text"))
     return written(named.mapInPandas(each, "doc_id long, n long, terms binary, times binary"), "postings")
 
 
@@ -95,11 +95,11 @@ def _first(scores: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:top]
 
 
-NO_ID = np.iinfo(np.int64).max   # stands for a null document id: it ranks last
-
-
 def best_in_tasks(posted: DataFrame, queries: list[tuple], weight: np.ndarray, documents: int, length: int, top: int) -> DataFrame:
-    """(row, doc_id, score): each task's ``top`` documents of every item (queries: row, terms, times)."""
+    """(row, doc_id, score): each task's ``top`` documents of every item (queries: row, terms, times).
+
+    A null document id is ``common.NO_ID`` throughout, the largest number: it ranks last.
+    """
     spark = posted.sparkSession
     shared = spark.sparkContext.broadcast((queries, weight))
 
@@ -108,7 +108,7 @@ def best_in_tasks(posted: DataFrame, queries: list[tuple], weight: np.ndarray, d
         best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(items)
 
         def search(docs: pd.DataFrame) -> None:
-            ids = docs["doc_id"].fillna(NO_ID).to_numpy(np.int64)
+            ids = docs["doc_id"].to_numpy(np.int64)
             sizes = [len(x) // 4 for x in docs["terms"]]
             doc = np.repeat(np.arange(len(ids)), sizes)
             term = np.frombuffer(b"".join(docs["terms"]), np.int32).astype(np.int64)
@@ -139,7 +139,7 @@ def best_in_tasks(posted: DataFrame, queries: list[tuple], weight: np.ndarray, d
         if rows:
             search(pd.concat(waiting, ignore_index=True))
         for (row, _, _), (scores, found) in zip(items, best, strict=True):
-            yield pd.DataFrame({"row": row, "doc_id": pd.Series(found, dtype="Int64").mask(pd.Series(found) == NO_ID), "score": scores})
+            yield pd.DataFrame({"row": row, "doc_id": found, "score": scores})
 
     return posted.mapInPandas(each, "row long, doc_id long, score long")
 
@@ -174,9 +174,9 @@ def lexical_search(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: st
         asked = [(r["row"], np.array([vocabulary[bytes(t)] for t in r["terms"]], np.int64), np.array(r["times"], np.int64)) for r in block]
         part = written(best_in_tasks(posted, asked, weight, documents, length, top), "best")
         found = part if found is None else found.unionByName(part)
-    best = Window.partitionBy("row").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
-    return ranked.join(queries.select("row", "item_id"), "row").select("item_id", "rank", "doc_id", "score")
+    return ranked.join(queries.select("row", "item_id"), "row").select(true_id("item_id"), "rank", true_id("doc_id"), "score")
 
 
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:

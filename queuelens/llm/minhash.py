@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from queuelens.llm.common import small_arrow_batches, table, text_of, written
+from queuelens.llm.common import known_id, small_arrow_batches, table, text_of, true_id, written
 from queuelens.llm.components import components
 
 SHINGLE = 5          # words
@@ -129,14 +129,15 @@ def distinct_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) ->
         for pdf in batches:
             sets = [shingle_hashes(t, shingle) for t in pdf["text"]]
             digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
-            yield pd.DataFrame({"row": pdf["row"], "doc_id": pdf["doc_id"].astype("Int64"), "text_key": pdf["text_key"],
+            yield pd.DataFrame({"row": pdf["row"], "doc_id": pdf["doc_id"], "text_key": pdf["text_key"],
                                 "n": [len(s) for s in sets], "d1": digests[:, 0], "d2": digests[:, 1],
                                 "sig": [signature(s).tobytes() if len(s) else b"" for s in sets]})
 
     text = text_of(docs, text_col)
-    named = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"),
+    named = docs.select(F.monotonically_increasing_id().alias("row"), known_id(docs, id_col).alias("doc_id"),
                         F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
-    rows = written(named.mapInPandas(each, "row long, doc_id long, text_key long, n long, d1 long, d2 long, sig binary"), "shingled")
+    rows = written(named.mapInPandas(each, "row long, doc_id long, text_key long, n long, d1 long, d2 long, sig binary")
+                   .withColumn("doc_id", true_id()), "shingled")
     chosen = rows.where("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("row")).select("row")
     sets = rows.join(chosen, "row").select(F.col("row").alias("set_id"), "doc_id", "text_key", "n", "sig")
     return rows.drop("sig"), written(sets, "sets")
