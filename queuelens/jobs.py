@@ -22,6 +22,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from queuelens.schemas import CSV_QUOTES
+
 
 def job_clean(spark: SparkSession, raw: str, out: str, as_of: str) -> dict:
     from queuelens.operators.cleaning import run_clean_pipeline
@@ -63,8 +65,8 @@ def job_catalog(spark: SparkSession, star_path: str, out: str) -> dict:
     rows = {}
     for key, fn in QUERIES.items():
         df = fn(star)
-        df.write.mode("overwrite").option("header", True).csv(f"{out}/{key}")
-        rows[key] = spark.read.option("header", True).csv(f"{out}/{key}").count()
+        df.write.mode("overwrite").option("header", True).options(**CSV_QUOTES).csv(f"{out}/{key}")
+        rows[key] = spark.read.option("header", True).options(**CSV_QUOTES).csv(f"{out}/{key}").count()
     return rows
 
 
@@ -88,7 +90,7 @@ def job_panels(spark: SparkSession, star_path: str, out: str, choice) -> dict:
     panels = {"kpis": filters.t_kpis, "category": filters.t_category, "monthly": filters.t_monthly,
               "channel_counts": filters.t_channel_counts, "root_causes": filters.t_root_causes8, "match_count": filters.t_match_count}
     for name, fn in panels.items():
-        fn(rows).write.mode("overwrite").option("header", True).csv(f"{out}/{name}")
+        fn(rows).write.mode("overwrite").option("header", True).options(**CSV_QUOTES).csv(f"{out}/{name}")
     return {"panels": len(panels)}
 
 
@@ -99,7 +101,7 @@ def job_export(spark: SparkSession, star_path: str, out: str, choice) -> dict:
     from queuelens.sources.sinks import write_detail_csv
 
     write_detail_csv(filters.t_drill(filters.t_filter(filters.t_load(read_star(spark, star_path)), choice)), out)
-    return {"rows": spark.read.option("header", True).csv(out).count()}
+    return {"rows": spark.read.option("header", True).options(**CSV_QUOTES, multiLine="true").csv(out).count()}
 
 
 def _choice(args):

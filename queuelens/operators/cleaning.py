@@ -1,8 +1,8 @@
 """Raw export -> clean fact (cl_*), plus the two re-aimed simulator rules (g1, g2).
 
 Every step is a lazy ``DataFrame -> DataFrame`` function made of native
-expressions; :func:`clean_pipeline` chains them in the reference order
-(parse -> dedup -> customer -> agent -> hours -> breach -> gate -> project).
+expressions; :func:`clean_pipeline` chains them: dedup -> judge (with the
+times parsed) -> customer -> agent -> hours -> breach -> project.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from queuelens.functions import sla, timestamps
 from queuelens.functions.text import strip_ws
@@ -117,23 +118,42 @@ def _unreadable(col: str, typed: F.Column) -> F.Column:
 MISSING_TEXTS = ("", "nan", "none", "null", "na", "n/a")
 
 
+def _required() -> list[str]:
+    from queuelens.operators.quality import REQUIRED_COLUMNS
+
+    return [c for c in REQUIRED_COLUMNS if c not in ("ticket_id", "sla_breached")]   # the key has its own rule, the flag is computed
+
+
+def has_key(raw: DataFrame) -> F.Column:
+    """The row is a whole record with a readable ticket id, so it takes part in the dedup."""
+    from queuelens.sources.files import CORRUPT_COLUMN
+
+    key = F.col("ticket_id").try_cast("long").isNotNull()
+    return key & F.col(CORRUPT_COLUMN).isNull() if CORRUPT_COLUMN in raw.columns else key
+
+
 def rejects(raw: DataFrame, keep_times: bool = False) -> DataFrame:
     """``raw`` plus ``reasons``: why a row cannot be loaded (an empty array if it can).
 
-    A row is rejected when its ticket id or opening time is missing or
-    unreadable, or any other typed field has text that does not read as its
-    type.  Rejected rows take no part in the dedup, so that rows without a
-    readable key are kept apart instead of being merged into one.  With
-    ``keep_times`` the parsed times stay as ``_opened_at`` and ``_closed_at``.
+    A row is rejected when its record has not the export's number of fields
+    (``record``), its ticket id is unreadable, a column that the gate requires
+    has no value in its domain, or any other typed field has text that does
+    not read as its type.  With ``keep_times`` the parsed times stay as
+    ``_opened_at`` and ``_closed_at``.
     """
+    from queuelens.operators.quality import STATUS_DOMAIN
+    from queuelens.sources.files import CORRUPT_COLUMN
+
     raw = raw.withColumns({f"_{c}": timestamps.parse_mixed_timestamp(c) for c in ("opened_at", "closed_at")})
     number = {c: F.col(c).try_cast("double") for c in ("transaction_amount_inr", "resolution_hours")}
     whole = {c: F.col(c).try_cast("double").try_cast("int") for c in ("category_id", "channel_id", "agent_id", "sla_target_hours")}
-    flags = {c: _flag01(c) for c in ("sla_breached", "is_incident_day")}
+    flags = {c: F.when(_flag01(c).isin(0, 1), _flag01(c)) for c in ("sla_breached", "is_incident_day")}
     times = {c: F.col(f"_{c}") for c in ("opened_at", "closed_at")}
-    rules = {"ticket_id": F.col("ticket_id").try_cast("long").isNull(),
-             **{c: _unreadable(c, v) for c, v in {**whole, **number, **flags, **times}.items()}}
-    rules["opened_at"] = times["opened_at"].isNull()
+    texts = {"customer_id": F.col("customer_id"), "status": F.when(F.col("status").isin(*STATUS_DOMAIN), F.col("status"))}
+    rules = {"record": F.col(CORRUPT_COLUMN).isNotNull()} if CORRUPT_COLUMN in raw.columns else {}
+    rules["ticket_id"] = F.col("ticket_id").try_cast("long").isNull()
+    typed = {**whole, **number, **flags, **times, **texts}
+    rules |= {c: v.isNull() if c in _required() else _unreadable(c, v) for c, v in typed.items()}
     judged = raw.withColumn("reasons", F.filter(
         F.array(*[F.when(bad, F.lit(c)) for c, bad in rules.items()]), lambda x: x.isNotNull()))
     return judged if keep_times else judged.drop("_opened_at", "_closed_at")
@@ -144,61 +164,67 @@ def quarantine(raw: DataFrame) -> DataFrame:
     return rejects(raw).where(F.size("reasons") > 0)
 
 
-def clean_pipeline(raw: DataFrame, as_of: str | _dt.datetime, *, gate: bool = False,
-                   sort: bool = False) -> DataFrame:
-    """cl_pipeline: raw export -> clean fact (14 columns), in reference order.
+def first_copies(raw: DataFrame) -> DataFrame:
+    """The first copy of every ticket, judged (:func:`rejects`, with its times parsed).
 
-    Rows without a readable ticket id are left to :func:`quarantine`; all
-    other rows take part, as in the reference.
+    A ticket's first copy decides, also when it is rejected: a later copy does
+    not take its place.  Rows without a readable key are no copies of anything.
     """
-    from queuelens.operators import quality
+    return rejects(dedup_first(raw.where(has_key(raw)).withColumn("ticket_id", F.col("ticket_id").try_cast("long"))), keep_times=True)
+
+
+def clean_first(judged: DataFrame, as_of: str | _dt.datetime) -> DataFrame:
+    """The cleaned columns of :func:`first_copies`; other columns stay as they are."""
+    df = type_raw(judged).withColumns({c: F.col(f"_{c}") for c in ("opened_at", "closed_at")})
+    df = default_agent(normalize_customer(df))
+    return recompute_breach(recompute_resolution(df), as_of)
+
 
-    df = type_raw(raw).where(F.col("ticket_id").isNotNull())
-    df = clean_typed(df, as_of)
-    if gate:
-        df = quality.gate(df)
+def clean_pipeline(raw: DataFrame, as_of: str | _dt.datetime, *, sort: bool = False) -> DataFrame:
+    """cl_pipeline: raw export -> clean fact (14 columns).
+
+    Dedup, then judge, then clean: what :func:`run_clean_pipeline` writes and
+    the stream ingests.  Rejected rows are left to the quarantine.
+    """
+    df = clean_first(first_copies(raw).where(F.size("reasons") == 0), as_of).select(*FACT_COLUMNS)
     return df.orderBy("ticket_id") if sort else df
 
 
-def clean_typed(typed: DataFrame, as_of: str | _dt.datetime, parsed: bool = False) -> DataFrame:
-    """Dedup first, then parse (unless the times are parsed already): only the copy that stays has its times parsed."""
-    df = dedup_first(typed)
-    df = df if parsed else parse_timestamps(df)
-    df = normalize_customer(df)
-    df = default_agent(df)
-    df = recompute_resolution(df)
-    df = recompute_breach(df, as_of)
-    return df.select(*FACT_COLUMNS)
+def _with_flag(df: DataFrame, flag: str) -> T.StructType:
+    return T.StructType([*df.schema.fields, T.StructField(flag, T.BooleanType(), True)])
 
 
 def run_clean_pipeline(raw: DataFrame, as_of: str | _dt.datetime, path: str,
                        quarantine_path: str | None = None) -> dict[str, int]:
-    """The production form of cl_pipeline: reject, clean, write aside, audit, publish.
-
-    Every raw row ends in one of three places: the clean fact, the
-    quarantine (``path`` + ``_quarantine``), or the count of removed copies:
-    raw = clean + duplicates + quarantined.  All counts are read from written
-    tables, so a task that runs twice is not counted twice.  Raises
-    ``DataQualityError``, with the earlier output untouched, if an assertion fails.
+    """cl_pipeline as a job: keep the first copies, judge, clean, write aside, audit, publish.
+
+    Every raw row ends in one of three places: the clean fact, the quarantine
+    (``path`` + ``_quarantine``), or the count of removed copies: raw = clean +
+    duplicates + quarantined.  The plan runs once, into tables in the shared
+    folder; all counts are those tables' row counts, so a task that runs twice
+    is not counted twice.  Raises ``DataQualityError``, with the earlier output
+    untouched, if an assertion fails.
     """
     from queuelens.operators import quality
     from queuelens.session import scratch_path
 
     spark = raw.sparkSession
-    aside = scratch_path(spark, "typed")
-    judged = rejects(raw, keep_times=True)
-    judged.withColumn("rejected", F.size("reasons") > 0).write.partitionBy("rejected").parquet(aside)
-    read = spark.read.schema(judged.schema.add("rejected", "boolean")).parquet(aside)
-    good, bad = read.where("not rejected"), read.where("rejected")
+    rows_at, first_at = scratch_path(spark, "rows"), scratch_path(spark, "first_copies")
+    raw.withColumn("keyed", has_key(raw)).write.partitionBy("keyed").parquet(rows_at)
+    rows = spark.read.schema(_with_flag(raw, "keyed")).parquet(rows_at)
+    judged = first_copies(rows.where("keyed").drop("keyed"))
+    judged.withColumn("rejected", F.size("reasons") > 0).write.partitionBy("rejected").parquet(first_at)
+    first = spark.read.schema(_with_flag(judged, "rejected")).parquet(first_at)
+    unkeyed = rejects(rows.where("not keyed").drop("keyed"))
+    bad = unkeyed.unionByName(first.where("rejected").select(*raw.columns, "reasons").withColumn("ticket_id", F.col("ticket_id").cast("string")))
     out = quarantine_path or f"{path.rstrip('/')}_quarantine"
-    bad.drop("rejected", "_opened_at", "_closed_at").write.mode("overwrite").parquet(out)
-    timed = type_raw(good).withColumns({c: F.col(f"_{c}") for c in ("opened_at", "closed_at")})
-    quality.write_then_gate(clean_typed(timed, as_of, parsed=True), path)
-    rows = {r["rejected"]: r["count"] for r in read.groupBy("rejected").count().collect()}
-    clean = spark.read.parquet(path).count()
+    bad.write.mode("overwrite").parquet(out)
+    quality.write_then_gate(clean_first(first.where("not rejected"), as_of).select(*FACT_COLUMNS), path)
+    all_rows, keyed, kept, clean = rows.count(), rows.where("keyed").count(), first.count(), first.where("not rejected").count()
+    bad = spark.read.schema(bad.schema).parquet(out)
     unparsed = bad.where(F.array_contains("reasons", "opened_at") & F.col("opened_at").isNotNull()).count()
-    return {"raw_rows": sum(rows.values()), "quarantined": rows.get(True, 0), "unparsed_opened_at": unparsed,
-            "duplicates_removed": rows.get(False, 0) - clean, "clean_rows": clean}
+    return {"raw_rows": all_rows, "quarantined": bad.count(), "unparsed_opened_at": unparsed,
+            "duplicates_removed": keyed - kept, "clean_rows": clean}
 
 
 # ------------------------------------------------- re-aimed simulator rules

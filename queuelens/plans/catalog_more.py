@@ -21,10 +21,10 @@ from queuelens.plans import queries as Q
 from queuelens.plans import reports as R
 from queuelens.plans.model import (Star, add_unassigned, materialized_raw, materialized_star,
                                    read_star, write_star)
-from queuelens.schemas import (DETAIL_COLUMNS, ENRICHED_COLUMNS, FACT, FACT_COLUMNS, conform)
+from queuelens.schemas import (CSV_QUOTES, DETAIL_COLUMNS, ENRICHED_COLUMNS, FACT, FACT_COLUMNS, RAW_COLUMNS, conform)
 from queuelens.session import scratch_path
 from queuelens.sources import files, fixtures, sinks
-from queuelens.streaming import escalation, ingest
+from queuelens.streaming import compaction, escalation, ingest
 
 AS_OF = fixtures.AS_OF
 
@@ -73,10 +73,25 @@ def src_raw_csv(spark, d):
     path = scratch_path(spark, "raw_csv")
     sinks.write_raw_csv(_raw(spark, d), path)
     back = files.read_raw_csv(spark, path)
-    return back.withColumns({"transaction_amount_inr": F.col("transaction_amount_inr").try_cast("double"),
+    return back.select(*RAW_COLUMNS).withColumns({"transaction_amount_inr": F.col("transaction_amount_inr").try_cast("double"),
                              "resolution_hours": F.col("resolution_hours").try_cast("double")})
 
 
+def src_raw_multiline(spark, d):
+    """Root causes with quotes, commas and line breaks survive the export; records with a surplus field are kept apart."""
+    base = scratch_path(spark, "raw_multiline")
+    n = F.col("ticket_id").cast("long")
+    raw = _raw(spark, d).withColumn("root_cause", F.when(n % 5 == 0, F.concat(F.lit('said "'), "root_cause", F.lit('",\ntwice'))).otherwise(F.col("root_cause")))
+    sinks.write_raw_csv(raw.where(n % 211 != 0), f"{base}/whole")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_COLUMNS[:-2]]
+    surplus = raw.where(n % 211 == 0).select(F.concat_ws(",", *fields, F.lit("x"), "is_incident_day", F.lit("surplus")).alias("value"))
+    header = spark.createDataFrame([(",".join(RAW_COLUMNS),)], "value string")
+    header.unionByName(surplus).coalesce(1).write.text(f"{base}/surplus")
+    rows = files.read_raw_csv(spark, f"{base}/whole").unionByName(files.read_raw_csv(spark, f"{base}/surplus"))
+    return rows.select("ingest_seq", "ticket_id", F.when(F.col(files.CORRUPT_COLUMN).isNull(), F.col("root_cause")).alias("root_cause"),
+                       F.col(files.CORRUPT_COLUMN).isNotNull().cast("int").alias("malformed"))
+
+
 def src_dims_csv(spark, d):
     base = scratch_path(spark, "dims_csv")
     sinks.write_dim_csv(fixtures.dim_category(spark, d), f"{base}/category")
@@ -109,7 +124,7 @@ def sk_clean_csv(spark, d):
     from pyspark.sql import types as T
     text_ts = T.StructType([T.StructField(f.name, T.StringType(), True)
                             if f.name in ("opened_at", "closed_at") else f for f in FACT.fields])
-    return spark.read.option("header", True).schema(text_ts).csv(_clean_csv_path(spark, d))
+    return spark.read.option("header", True).options(**CSV_QUOTES).schema(text_ts).csv(_clean_csv_path(spark, d))
 
 
 SQL_VIEW_TEXT = """
@@ -145,7 +160,7 @@ def sk_detail_csv(spark, d):
     enriched_schema = {f.name: f.dataType for f in s.enriched().schema.fields}
     schema = T.StructType([T.StructField(c, T.StringType() if c == "opened_at" else enriched_schema[c], True)
                            for c in DETAIL_COLUMNS])
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.option("header", True).options(**CSV_QUOTES).schema(schema).csv(path)
 
 
 # ------------------------------------------------------------ schema / quality
@@ -203,12 +218,13 @@ def dq_counts(spark, d):
 
 
 def dq_gate(spark, d):
-    return quality.gate(_cleaned(spark, d))
+    path = scratch_path(spark, "gated")
+    quality.write_then_gate(_cleaned(spark, d), path)
+    return files.read_clean(spark, path)
 
 
 def dq_reconcile(spark, d):
-    truth = _star(spark, d).fact.select(*FACT_COLUMNS)
-    return quality.reconcile(_cleaned(spark, d), truth, "ticket_id")
+    return quality.reconcile(dq_gate(spark, d), _star(spark, d).fact.select(*FACT_COLUMNS), "ticket_id")
 
 
 # ------------------------------------------------------------ cleaning
@@ -339,17 +355,37 @@ MART_REGISTRY = {
 
 # ------------------------------------------------------------ streaming
 
-def st_clean_ingest(spark, d):
-    """Four drops at least, later copies before earlier ones, one file a micro-batch."""
+def _ingest(spark, d, between=None) -> str:
+    """The export in four drops of 14 columns, the tickets' later copies arriving before the earlier ones.
+
+    A drop's name tells its place in the ingest order; ``between`` runs on the sink after every drop.
+    """
     base = scratch_path(spark, "ingest")
     raw = _raw(spark, d)
-    for k in range(4):
-        drop = raw.where(F.pmod(F.col("ticket_id").cast("long") - F.col("ingest_seq"), F.lit(4)) == k)
-        sinks.write_raw_csv(drop.coalesce(1), f"{base}/source/drop{k}")
-    q = ingest.start_clean_ingest(spark, f"{base}/source/*", f"{base}/sink", f"{base}/checkpoint", AS_OF,
-                                  max_files_per_trigger=1)
-    q.awaitTermination()
-    return ingest.read_ingested(spark, f"{base}/sink")
+    nth = F.least(F.col("ingest_seq"), F.lit(4))
+    for k in (4, 3, 2, 1):
+        drop = raw.where(nth == k).sortWithinPartitions("ingest_seq").select(*RAW_COLUMNS[1:])
+        sinks.write_raw_csv(drop, f"{base}/source/drop{k}")
+        ingest.start_clean_ingest(spark, f"{base}/source/*", f"{base}/sink", f"{base}/checkpoint", AS_OF).awaitTermination()
+        if between:
+            between(f"{base}/sink")
+    return f"{base}/sink"
+
+
+def st_clean_ingest(spark, d):
+    return ingest.read_ingested(spark, _ingest(spark, d))
+
+
+def st_ingest_compacted(spark, d):
+    """The same stream, compacted after every drop but the last: table and tail are read together."""
+    left = [0]
+
+    def between(sink):
+        left[0] += 1
+        if left[0] < 4:
+            compaction.compact(spark, sink)
+
+    return ingest.read_ingested(spark, _ingest(spark, d, between))
 
 
 def st_at_risk(spark, d):
@@ -389,7 +425,7 @@ def v1_catalog(spark, d):
 
 def more_registry():
     reg = {
-        "src_raw_csv": src_raw_csv, "src_dims_csv": src_dims_csv, "src_clean": src_clean,
+        "src_raw_csv": src_raw_csv, "src_raw_multiline": src_raw_multiline, "src_dims_csv": src_dims_csv, "src_clean": src_clean,
         "src_sql_view": src_sql_view, "sk_clean_csv": sk_clean_csv, "sk_star": sk_star,
         "sk_unassigned": sk_unassigned, "sk_detail_csv": sk_detail_csv,
         "sc_star": sc_star, "dq_pk_unique": dq_pk_unique, "dq_not_null": dq_not_null,
@@ -419,7 +455,7 @@ def more_registry():
         "r_unassigned_vs_team": _on_star(R.r_unassigned_vs_team),
         "r_salary_lift": _on_star(R.r_salary_lift), "r_incident_lift": _on_star(R.r_incident_lift),
         "r_target_gap": _on_star(R.r_target_gap), "v1_catalog": v1_catalog,
-        "st_clean_ingest": st_clean_ingest, "st_at_risk": st_at_risk,
+        "st_clean_ingest": st_clean_ingest, "st_ingest_compacted": st_ingest_compacted, "st_at_risk": st_at_risk,
         "st_unassigned_escalation": st_unassigned_escalation, "pii_mask": pii_mask,
         **MART_REGISTRY,
     }

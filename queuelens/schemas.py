@@ -54,6 +54,18 @@ RAW_FACT = T.StructType(
     + [T.StructField(c, T.StringType(), True) for c in FACT_COLUMNS]
 )
 
+# The place of a record in the ingest order, compared field by field: its number, or where it lies.
+INGEST_ORDER = T.StructType([
+    T.StructField("seq", T.LongType(), True),
+    T.StructField("file_time", T.TimestampType(), True),
+    T.StructField("path", T.StringType(), True),
+    T.StructField("block", T.LongType(), True),
+    T.StructField("line", T.LongType(), True),
+])
+
+# One rule for every CSV reader and writer: a quote inside a quoted field is doubled.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
 RAW_COLUMNS = [f.name for f in RAW_FACT.fields]
 
 # The wide detail model, fact joined to its three dimensions.

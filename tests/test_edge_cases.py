@@ -200,7 +200,7 @@ def test_raw_csv_quarantines_malformed_lines(spark):
     good = "1,7,  cust000123 ,3,2,5.0,100.5,2026-02-05 04:03:09,,Open,,24,1,,0"
     with open(os.path.join(local, "part-0.csv"), "w") as fh:
         fh.write(",".join(RAW_COLUMNS) + "\n" + good + "\n" + "2,8,oops,too,many,fields" + ",x" * 20 + "\n")
-    df = files.read_raw_csv(spark, path, keep_corrupt=True).cache()
+    df = files.read_raw_csv(spark, path).cache()
     rows = sorted(df.collect(), key=lambda r: r.ingest_seq)
     assert len(rows) == 2
     assert rows[0][files.CORRUPT_COLUMN] is None and rows[0].customer_id == "  cust000123 "

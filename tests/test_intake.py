@@ -40,13 +40,12 @@ def spoilt(spark):
 def test_every_raw_row_is_clean_duplicate_or_quarantined(spark):
     out = scratch_path(spark, "intake")
     bad = {r.ticket_id: r.reasons for r in cleaning.quarantine(spoilt(spark)).collect()}
-    assert {f"T-{i}" for i in range(5)} <= set(bad) and len(bad) == 9
-    raw = spoilt(spark).where(F.coalesce(F.col("sla_target_hours"), F.lit("")) != "NaN")
-    m = cleaning.run_clean_pipeline(raw, fixtures.AS_OF, out)
-    assert m["raw_rows"] == 299 == m["clean_rows"] + m["duplicates_removed"] + m["quarantined"]
-    assert m["quarantined"] == 9 and m["unparsed_opened_at"] == 1
+    assert {f"T-{i}" for i in range(5)} <= set(bad) and len(bad) == 10
+    m = cleaning.run_clean_pipeline(spoilt(spark), fixtures.AS_OF, out)
+    assert m["raw_rows"] == 300 == m["clean_rows"] + m["duplicates_removed"] + m["quarantined"]
+    assert m["quarantined"] == 10 and m["unparsed_opened_at"] == 1
     kept = spark.read.parquet(f"{out}_quarantine")
-    assert kept.count() == 9 and kept.where(F.size("reasons") == 0).count() == 0
+    assert kept.count() == 10 and kept.where(F.size("reasons") == 0).count() == 0
 
 
 def fingerprint(path):
@@ -84,7 +83,7 @@ def test_fourteen_column_export_in_several_files_and_splits(spark):
         for size in (old, "20k", "300k"):
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
             rows = files.read_raw_csv(spark, path)
-            assert rows.columns == RAW_COLUMNS
+            assert rows.columns == [*RAW_COLUMNS, files.CORRUPT_COLUMN]
             assert sorted(map(str, cleaning.clean_pipeline(rows, fixtures.AS_OF).collect())) == want
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
