@@ -82,15 +82,17 @@ def job_mart(spark: SparkSession, star_path: str, out: str) -> dict:
 
 
 def job_panels(spark: SparkSession, star_path: str, out: str, choice) -> dict:
-    """The filter panels of one selection, each as CSV."""
+    """The filter panels of one selection, each as CSV; the star is scanned once for all of them."""
     from queuelens.operators import filters
     from queuelens.plans.model import read_star
-
-    rows = filters.t_filter(filters.t_panel(read_star(spark, star_path)), choice)
-    panels = {"kpis": filters.t_kpis, "category": filters.t_category, "monthly": filters.t_monthly,
-              "channel_counts": filters.t_channel_counts, "root_causes": filters.t_root_causes8, "match_count": filters.t_match_count}
-    for name, fn in panels.items():
-        fn(rows).write.mode("overwrite").option("header", True).options(**CSV_QUOTES).csv(f"{out}/{name}")
+    from queuelens.session import scratch_path
+
+    aside = scratch_path(spark, "panel_cube")
+    cube = filters.panel_cube(filters.t_filter(filters.t_panel(read_star(spark, star_path)), choice))
+    cube.write.parquet(aside)
+    panels = filters.panels_of(spark.read.schema(cube.schema).parquet(aside))
+    for name, df in panels.items():
+        df.write.mode("overwrite").option("header", True).options(**CSV_QUOTES).csv(f"{out}/{name}")
     return {"panels": len(panels)}
 
 

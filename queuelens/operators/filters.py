@@ -40,7 +40,7 @@ def t_load(star: Star) -> DataFrame:
     """t_load: the enriched detail (plus ``opened_month`` when the fact has it)."""
     extra = ["opened_month"] if "opened_month" in star.fact.columns else []
     df = t_panel(star)
-    df = joins.join_dim(df, star.dim_agent.select("agent_id", "agent_name", "team"), "agent_id")
+    df = joins.join_agent(df, star.dim_agent.select("agent_id", "agent_name", "team"))
     return df.select(*ENRICHED_COLUMNS, *extra)
 
 
@@ -151,3 +151,61 @@ def t_drill(fdf: DataFrame) -> DataFrame:
 def t_match_count(fdf: DataFrame) -> DataFrame:
     """t_match_count: number of tickets matching the current filters."""
     return fdf.agg(F.count(F.lit(1)).alias("matching_tickets"))
+
+
+# ------------------------------------------------- all panels from one scan
+
+# What the panels group by, each on its own.
+CUBE_KEYS = ("category_name", "month", "channel_name", "root_cause")
+
+
+def panel_cube(fdf: DataFrame) -> DataFrame:
+    """Every panel's sums in one pass over the filtered rows, by grouping sets: all rows, and by each of ``CUBE_KEYS`` alone.
+
+    Columns: ``panel`` (the key grouped by, ``all`` for none), the keys, and
+    additive measures.  Five small groups a row are pre-aggregated in the task
+    that scans it, so little is shuffled; the result has a row for each value
+    of each key.
+    """
+    closed = F.col("status") == "Closed"
+    hours = F.when(closed, F.col("resolution_hours"))
+    rows = fdf.select("category_name", sla.month_key("opened_at").alias("month"), "channel_name", "root_cause", "sla_breached", "status",
+                      hours.alias("hours"), "transaction_amount_inr")
+    sets = [[], *[[F.col(k)] for k in CUBE_KEYS]]
+    cube = rows.groupingSets(sets, *CUBE_KEYS).agg(
+        F.grouping_id(*CUBE_KEYS).alias("gid"),
+        F.count(F.lit(1)).alias("tickets"), F.sum("sla_breached").cast("bigint").alias("breached"),
+        F.count_if(F.col("status") == "Open").alias("open"), F.count_if(F.col("status") == "Closed").alias("closed"),
+        F.count("hours").alias("hours_n"), sla.exact_sum("hours").alias("hours_sum"),
+        sla.exact_sum("transaction_amount_inr").alias("amount"))
+    panel = F.lit("all")
+    for i, k in enumerate(CUBE_KEYS):   # grouping_id: a bit for each key left out, the first key's the highest
+        panel = F.when(F.col("gid") == (2 ** len(CUBE_KEYS) - 1 - 2 ** (len(CUBE_KEYS) - 1 - i)), F.lit(k)).otherwise(panel)
+    return cube.withColumn("panel", panel).drop("gid")
+
+
+def panels_of(cube: DataFrame) -> dict[str, DataFrame]:
+    """The six panels (the values of ``t_kpis`` ... ``t_match_count``) from a :func:`panel_cube`, written or not."""
+    def part(name: str) -> DataFrame:
+        return cube.where(F.col("panel") == name)
+
+    share = F.col("breached").cast("double") / F.col("tickets").cast("double")
+    # grouping sets give no row at all for an empty selection; its panels are zeros, as with a plain aggregate
+    counts = ("tickets", "breached", "open", "closed", "hours_n")
+    whole = part("all").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in counts], *[F.sum(c).alias(c) for c in ("hours_sum", "amount")])
+    kpis = whole.select(
+        F.col("tickets").alias("total_tickets"),
+        F.coalesce(F.lit(100.0) * (F.lit(1.0) - F.try_divide(F.col("breached").cast("double"), F.col("tickets").cast("double"))), F.lit(0.0)).alias("sla_compliance_pct"),
+        F.when(F.col("closed") == 0, F.lit(0.0)).otherwise(F.try_divide("hours_sum", F.col("hours_n").cast("double"))).alias("avg_resolution_hours"),
+        F.col("open").alias("open_tickets"), F.coalesce("amount", F.lit(0.0)).alias("disputed_value_inr"))
+    causes = part("root_cause").where("root_cause is not null and breached > 0")
+    return {
+        "kpis": kpis,
+        "category": part("category_name").select("category_name", "tickets", (F.lit(100.0) * share).alias("sla_breach_pct"))
+                    .transform(sorted_small(F.desc("sla_breach_pct"), "category_name")),
+        "monthly": part("month").select("month", "tickets", (F.lit(100.0) * (F.lit(1.0) - share)).alias("sla_compliance_pct"))
+                   .transform(sorted_small("month")),
+        "channel_counts": part("channel_name").select("channel_name", "tickets"),
+        "root_causes": causes.select("root_cause", F.col("breached").alias("breached_tickets")).orderBy(F.desc("breached_tickets"), "root_cause").limit(8),
+        "match_count": whole.select(F.col("tickets").alias("matching_tickets")),
+    }

@@ -227,6 +227,18 @@ def dq_reconcile(spark, d):
     return quality.reconcile(dq_gate(spark, d), _star(spark, d).fact.select(*FACT_COLUMNS), "ticket_id")
 
 
+def dq_reconcile_drift(spark, d):
+    """The cleaned export against a later state of it: some tickets gone, some new, some changed."""
+    clean, n = dq_gate(spark, d), F.col("ticket_id")
+    later = clean.where(n % 101 != 0).withColumns({
+        "status": F.when(n % 103 == 0, F.lit("Open")).otherwise(F.col("status")),
+        "root_cause": F.when(n % 107 == 0, F.lit(None)).otherwise(F.col("root_cause"))})
+    new = clean.where(n % 109 == 0).withColumn("ticket_id", -n)
+    path = scratch_path(spark, "later")
+    later.unionByName(new).write.parquet(path)
+    return quality.reconcile(clean, files.read_clean(spark, path), "ticket_id")
+
+
 # ------------------------------------------------------------ cleaning
 
 def cl_timestamp(spark, d):
@@ -304,6 +316,12 @@ def j_agent(spark, d):
     return joins.join_agent(s.fact.select(*FACT_COLUMNS), s.dim_agent)
 
 
+def j_agent_split(spark, d):
+    """j_agent with the hot members set apart, as it runs once the agents outgrow a broadcast."""
+    s = _star(spark, d)
+    return joins.split_join(s.fact.select(*FACT_COLUMNS), s.dim_agent, "agent_id")
+
+
 def j_enriched(spark, d):
     return _star(spark, d).enriched()
 
@@ -330,6 +348,31 @@ def _on_star(fn):
     return lambda spark, d: fn(_star(spark, d))
 
 
+def t_panels(spark, d):
+    """All panels of the registry's selection in long form, from one scan."""
+    path = scratch_path(spark, "panel_cube")
+    cube = filters.panel_cube(_panel(spark, d))
+    cube.write.parquet(path)
+    panels = filters.panels_of(spark.read.schema(cube.schema).parquet(path))
+    none = F.lit(None)
+
+    def long(name, label, tickets, value):
+        return panels[name].select(F.lit(name).alias("panel"), label.cast("string").alias("label"), tickets.cast("bigint").alias("tickets"),
+                                   value.cast("double").alias("value"))
+
+    parts = [long("kpis", F.lit(c), F.when(F.lit(c).isin("total_tickets", "open_tickets"), F.col(c)), F.when(~F.lit(c).isin("total_tickets", "open_tickets"), F.col(c)))
+             for c in panels["kpis"].columns]
+    parts += [long("category", F.col("category_name"), F.col("tickets"), F.col("sla_breach_pct")),
+              long("monthly", F.col("month"), F.col("tickets"), F.col("sla_compliance_pct")),
+              long("channel_counts", F.col("channel_name"), F.col("tickets"), none),
+              long("root_causes", F.col("root_cause"), F.col("breached_tickets"), none),
+              long("match_count", none, F.col("matching_tickets"), none)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 # ------------------------------------------------------------ marts
 
 def _mart_panel(fn):
@@ -396,6 +439,28 @@ def st_unassigned_escalation(spark, d):
     return escalation.unassigned_escalation(_star(spark, d).fact, AS_OF)
 
 
+def _escalate(spark, d, build):
+    """The rule as a stream: what has happened by AS_OF arrives in three drops, then nothing but a tick."""
+    base = scratch_path(spark, "escalation")
+    events = escalation.ticket_events(_star(spark, d).fact).where(F.col("event_time") <= F.lit(AS_OF).cast("timestamp"))
+    source = spark.readStream.schema(events.schema).parquet(f"{base}/events/*")
+    year = F.year("event_time")
+    late = _dt.datetime.fromisoformat(AS_OF) + _dt.timedelta(hours=1, seconds=1)   # the watermark's delay, and past AS_OF
+    for k, drop in enumerate((events.where(year < 1995), events.where(year.between(1995, 1998)), events.where(year > 1998), escalation.tick(spark, late))):
+        drop.write.parquet(f"{base}/events/drop{k}")
+        (build(source).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+         .trigger(availableNow=True).start(f"{base}/out").awaitTermination())
+    return spark.read.parquet(f"{base}/out").select("ticket_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("opened_at", "escalate_at")])
+
+
+def st_at_risk_stream(spark, d):
+    return _escalate(spark, d, escalation.at_risk_stream)
+
+
+def st_unassigned_stream(spark, d):
+    return _escalate(spark, d, escalation.unassigned_stream)
+
+
 def pii_mask(spark, d):
     r = _raw(spark, d)
     return r.select("ingest_seq", F.col("ticket_id").cast("long").alias("ticket_id"),
@@ -431,11 +496,12 @@ def more_registry():
         "sc_star": sc_star, "dq_pk_unique": dq_pk_unique, "dq_not_null": dq_not_null,
         "dq_domain": dq_domain, "dq_fk": dq_fk, "dq_unparsed": dq_unparsed, "dq_counts": dq_counts,
         "dq_gate": dq_gate, "dq_quarantine": dq_quarantine, "dq_reconcile": dq_reconcile,
+        "dq_reconcile_drift": dq_reconcile_drift,
         "cl_timestamp": cl_timestamp, "cl_ts_fallback": cl_ts_fallback, "cl_dedup_first": cl_dedup_first,
         "cl_customer": cl_customer, "cl_agent_default": cl_agent_default, "cl_resolution": cl_resolution,
         "cl_breach": cl_breach, "cl_iso_format": cl_iso_format, "cl_project_sort": cl_project_sort,
         "cl_pipeline": cl_pipeline, "g1_incident_flag": g1_incident_flag, "g2_route_team": g2_route_team,
-        "j_category": j_category, "j_channel": j_channel, "j_agent": j_agent, "j_enriched": j_enriched,
+        "j_category": j_category, "j_channel": j_channel, "j_agent": j_agent, "j_agent_split": j_agent_split, "j_enriched": j_enriched,
         "x_kpis": _on_star(X.x_kpis), "x_category": _on_star(X.x_category),
         "x_channel": _on_star(X.x_channel), "x_monthly": _on_star(X.x_monthly),
         "x_detail": _on_star(X.x_detail), "x_category_chart": _on_star(X.x_category_chart),
@@ -449,13 +515,14 @@ def more_registry():
         "t_monthly": _on_panel(filters.t_monthly),
         "t_channel_counts": _on_panel(filters.t_channel_counts),
         "t_root_causes8": _on_panel(filters.t_root_causes8), "t_drill": _on_filtered(filters.t_drill),
-        "t_match_count": _on_panel(filters.t_match_count),
+        "t_match_count": _on_panel(filters.t_match_count), "t_panels": t_panels,
         "r_avg_vs_target": _on_star(R.r_avg_vs_target), "r_group_top_cause": _on_star(R.r_group_top_cause),
         "r_group_share": _on_star(R.r_group_share), "r_top4_sum": _on_star(R.r_top4_sum),
         "r_unassigned_vs_team": _on_star(R.r_unassigned_vs_team),
         "r_salary_lift": _on_star(R.r_salary_lift), "r_incident_lift": _on_star(R.r_incident_lift),
         "r_target_gap": _on_star(R.r_target_gap), "v1_catalog": v1_catalog,
         "st_clean_ingest": st_clean_ingest, "st_ingest_compacted": st_ingest_compacted, "st_at_risk": st_at_risk,
+        "st_at_risk_stream": st_at_risk_stream, "st_unassigned_stream": st_unassigned_stream,
         "st_unassigned_escalation": st_unassigned_escalation, "pii_mask": pii_mask,
         **MART_REGISTRY,
     }

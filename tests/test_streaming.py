@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from queuelens.operators import cleaning
 from queuelens.plans.model import materialized_raw, materialized_star
-from queuelens.schemas import FACT_COLUMNS
+from queuelens.schemas import FACT_COLUMNS, RAW_COLUMNS
 from queuelens.session import scratch_path
-from queuelens.sources import fixtures, sinks
-from queuelens.streaming import escalation, ingest
-from tests.conftest import SF_SMALL
+from queuelens.sources import files, fixtures, sinks
+from queuelens.streaming import compaction, escalation, ingest
+from tests.conftest import SF_SMALL, explain_text
 
 
 def test_ingest_stream_equals_batch_in_any_order(spark):
@@ -78,3 +79,89 @@ def test_at_risk_stream_equals_batch(spark):
                            "test_at_risk")
     batch = {r.ticket_id for r in escalation.at_risk(fact, _last_event_minus_1s(fact)).collect()}
     assert batch and streamed == batch
+
+
+def test_quiet_source_escalates_by_the_heartbeat_alone(spark):
+    """No event follows the opens; the wall clock's ticks alone move event time past their lead."""
+    import time
+
+    base = scratch_path(spark, "test_quiet")
+    rows = spark.range(3).select(F.col("id").alias("ticket_id"), F.lit(24).alias("sla_target_hours"), F.lit(-1).alias("agent_id"),
+                                 F.lit("open").alias("event"), (F.current_timestamp() - F.expr("INTERVAL 2 HOURS")).alias("event_time"))
+    rows.where("ticket_id < 2").write.parquet(f"{base}/events/a")
+    rows.where("ticket_id = 1").withColumn("event", F.lit("close")).write.parquet(f"{base}/events/b")
+    events = spark.readStream.schema(rows.schema).parquet(f"{base}/events/*")
+    out = []
+    q = (escalation.unassigned_stream(events, "10 seconds", ticks=escalation.heartbeat(spark)).writeStream
+         .foreachBatch(lambda df, _: out.extend(r.ticket_id for r in df.collect()))
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(processingTime="1 second").start())
+    try:
+        for _ in range(120):
+            if out:
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+    assert out == [0]
+
+
+def _drops(spark, base, parts, between=lambda: None):
+    for name, part in parts:
+        sinks.write_raw_csv(part, f"{base}/source/{name}")
+        ingest.start_clean_ingest(spark, f"{base}/source/*", f"{base}/sink", f"{base}/checkpoint", fixtures.AS_OF).awaitTermination()
+        between()
+
+
+def _rows(df):
+    return sorted(map(str, df.select(*FACT_COLUMNS).collect()))
+
+
+def test_fourteen_column_drops_in_any_order_equal_the_job(spark):
+    raw = materialized_raw(spark, SF_SMALL)
+    cols = RAW_COLUMNS[1:]
+    spoilt = raw.withColumn("status", F.when(F.col("ticket_id").cast("long") % 41 == 0, F.when(F.col("ingest_seq") == 1, "Lost").otherwise(F.col("status")))
+                            .otherwise(F.col("status")))
+    first, later = spoilt.where("ingest_seq = 1").select(*cols), spoilt.where("ingest_seq > 1").orderBy("ingest_seq").select(*cols)
+    results = []
+    for order in (("a", "b"), ("b", "a")):
+        base = scratch_path(spark, "test_any_order")
+        _drops(spark, base, [(name, {"a": first, "b": later}[name]) for name in order])
+        kept = ingest.read_quarantined(spark, f"{base}/sink")
+        assert kept.count() == first.where("status = 'Lost'").count() > 0 and kept.where("status <> 'Lost'").count() == 0
+        results.append(_rows(ingest.read_ingested(spark, f"{base}/sink")))
+    out = scratch_path(spark, "test_any_order_job")
+    m = cleaning.run_clean_pipeline(files.read_raw_csv(spark, f"{base}/source/*"), fixtures.AS_OF, out)
+    assert results[0] == results[1] == _rows(spark.read.parquet(out)) == _rows(cleaning.clean_pipeline(spoilt, fixtures.AS_OF))
+    assert m["quarantined"] == first.where("status = 'Lost'").count()
+
+
+def test_compaction_reads_the_tail_only_and_survives_crashes_and_replays(spark):
+    raw = materialized_raw(spark, SF_SMALL)
+    base = scratch_path(spark, "test_compaction")
+    sink = f"{base}/sink"
+    nth = lambda k: raw.where(F.pmod(F.col("ticket_id").cast("long") + F.col("ingest_seq"), F.lit(3)) == k)
+    want = _rows(cleaning.clean_pipeline(raw, fixtures.AS_OF))
+    assert compaction.merged(spark, sink).count() == 0 and compaction.compact(spark, sink) is None
+    _drops(spark, base, [("x", nth(0)), ("y", nth(1))])
+    crashed = compaction.write_merged(spark, sink)      # the table is there, its manifest is not
+    assert compaction.last_manifest(spark, sink) is None
+    before = _rows(ingest.read_ingested(spark, sink))
+    first = compaction.compact(spark, sink)
+    assert first.version == 1 and first.table != crashed.table and compaction.compact(spark, sink) is None
+    assert _rows(ingest.read_ingested(spark, sink)) == before
+    with pytest.raises(FileExistsError):
+        compaction.publish(spark, sink, crashed)
+    _drops(spark, base, [("z", nth(2))])
+    merged = compaction.merged(spark, sink)
+    plan = explain_text(merged)
+    old_side = plan.split("FullOuter")[1].split("FileScan")[0]
+    assert plan.count("queuelens_merged_") == 1 and "Bucketed: true" in plan
+    assert "Exchange" not in old_side and plan.count("Exchange") == 1     # history is read in its buckets, only the tail is shuffled
+    assert _rows(ingest.read_ingested(spark, sink)) == want
+    # a merged batch that is written again changes nothing
+    again = spark.read.parquet(f"{sink}/batches/batch=0")
+    rows = again.collect()
+    spark.createDataFrame(rows, again.schema).write.mode("overwrite").parquet(f"{sink}/batches/batch=0")
+    second = compaction.compact(spark, sink)
+    assert (second.version, second.through) == (2, 2) and compaction.drop_unread(spark, sink) == 2
+    assert _rows(ingest.read_ingested(spark, sink)) == want
