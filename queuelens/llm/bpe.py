@@ -26,7 +26,9 @@ from queuelens.llm.common import small_arrow_batches, table, text_of
 
 NONE = np.int64(1 << 40)   # rank of a pair that does not merge
 LONGEST_BATCHED = 64       # bytes; longer pre-tokens are merged one at a time
-CACHED = 400_000           # chunks remembered by a Python worker
+CACHED_BYTES = 128 << 20   # of remembered chunks and pre-tokens in a Python worker; then it starts anew
+ENTRY_BYTES = 400          # of a chunk's and its pre-tokens' entries, besides 16 times the chunk's own bytes
+LONGEST_KEPT = 64          # bytes; longer chunks (a text without spaces, say) are forgotten after their batch
 TOGETHER = 1 << 13         # pre-tokens merged side by side
 
 TOUCHING_SPACES = re.compile(r"\s\s")
@@ -209,17 +211,31 @@ def encoder(path: str, pattern: str) -> Callable[[str], np.ndarray]:
         first, *rest = text.split(" ")
         return [*([first] if first else []), *[" " + x for x in rest]]
 
+    held = 0   # bytes of chunks and words
+
     def encode(texts: list[str]) -> list[np.ndarray]:
-        if len(chunks) > CACHED:
+        nonlocal held
+        if held > CACHED_BYTES:
             chunks.clear()
             words.clear()
+            held = 0
         parts = [pieces(t) for t in texts]
         new = list(set().union(*parts).difference(chunks)) if parts else []
         cut = [[p.encode() for p in split.findall(c)] for c in new]
-        learn(set().union(*map(set, cut)).difference(words) if cut else set())
+        fresh = set().union(*map(set, cut)).difference(words) if cut else set()
+        learn(fresh)
         for c, ps in zip(new, cut, strict=True):
             chunks[c] = np.array([i for p in ps for i in words[p]], "<i4").tobytes()
-        return [np.frombuffer(b"".join(map(chunks.__getitem__, p)), "<i4") for p in parts]
+        out = [np.frombuffer(b"".join(map(chunks.__getitem__, p)), "<i4") for p in parts]
+        for c in new:
+            if len(c) > LONGEST_KEPT:
+                del chunks[c]
+            else:
+                held += 16 * len(c) + ENTRY_BYTES
+        for w in fresh:
+            if len(w) > LONGEST_KEPT:
+                del words[w]
+        return out
 
     return encode
 

@@ -13,21 +13,29 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuelens.llm.common import small_arrow_batches, table, text_of
 
 SAMPLE = 1500      # documents a language at most that the model is fitted on, chosen by hash
-WORDS = 20_000     # most frequent words kept a language
-GRAMS = 10_000     # most frequent n-grams kept a language and length
+LANGUAGES = 256    # most frequent languages learned
+LEAST = 2          # occurrences in the sample of a word or n-gram that is learned
 ORDER = 4
 EVIDENCE = 10.0    # words' worth of evidence behind a score: longer texts do not saturate it
 CACHED = 200_000   # unseen words remembered by a Python worker
 UNKNOWN = "und"
 LEAST_LIFT = 1.05  # the pipeline rejects a document whose score is not this many times that of a blind guess
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# A word is a maximal run of letters (Unicode category L), in fitting and in predicting.
+_ALNUM = re.compile(r"[^\W\d_]+")   # letters and numbers that are no digits, such as a half
+LETTERS = r"\p{L}+"
+
+
+def words_of(text: str) -> list[str]:
+    found = _ALNUM.findall(text.lower())
+    return found if "".join(found).isalpha() else regex.findall(LETTERS, text.lower())
 
 
 @dataclass
@@ -67,19 +75,14 @@ def _log_frequencies(rows: list, languages: list[str]) -> dict[str, np.ndarray]:
     return out
 
 
-def _most_frequent(counts: DataFrame, keep: int, *by: str) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy(F.desc("n"), "item")
-    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= keep).select("lang", "item", "n")
-
-
 def bounded_sample(docs: DataFrame, lang: Column, key: Column, per_language: int) -> tuple[DataFrame, list[str]]:
     """About ``per_language`` documents of each language at most, chosen by a hash of ``key``."""
     named = docs.withColumns({"lang": lang, "draw": F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000))})
-    counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return named.where(F.lit(False)), []
     limit = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(math.ceil(1e6 * per_language / n)))])
-    return named.where(F.col("draw") < limit[F.col("lang")]), sorted(counts)
+    return named.where(F.col("draw") < limit[F.col("lang")]), sorted(counts)   # other languages have no limit, so no row
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
@@ -90,16 +93,21 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     sample, languages = bounded_sample(rows, F.col("lang"), F.col("key"), SAMPLE)
     if not languages:
         return Model([])
-    words = (sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("item"))
+    words = (sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))).alias("item"))
              .groupBy("lang", "item").agg(F.count("*").alias("n"))).persist()
     padded = F.concat(F.lit(" "), F.col("item"), F.lit(" "))
     grams = words.select("lang", "n", padded.alias("p")).select("lang", "n", F.explode(F.flatten(F.transform(
         F.sequence(F.lit(1), F.least(F.lit(ORDER), F.length("p"))),
         lambda k: F.transform(F.sequence(F.lit(1), F.length("p") - k + 1), lambda i: F.substring(F.col("p"), i, k))))).alias("item"))
-    grams = grams.groupBy("lang", "item").agg(F.sum("n").alias("n")).withColumn("size", F.length("item"))
+    grams = grams.groupBy("lang", "item").agg(F.sum("n").alias("n"))
+
+    def often(counts: DataFrame) -> DataFrame:
+        """Rows of the items seen ``LEAST`` times in all; the sample bounds their number."""
+        return counts.join(counts.groupBy("item").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST).select("item"), "item", "left_semi")
+
     try:
-        known = _log_frequencies(_most_frequent(words, WORDS, "lang").collect(), languages)
-        short = _log_frequencies(_most_frequent(grams, GRAMS, "lang", "size").collect(), languages)
+        known = _log_frequencies(often(words).collect(), languages)
+        short = _log_frequencies(often(grams).collect(), languages)
     finally:
         words.unpersist()
     matrix = np.array(list(known.values())) if known else np.zeros((0, len(languages)))
@@ -117,7 +125,7 @@ def predictor(model: Model):
         nonlocal seen
         langs, scores = [], []
         for text in texts:
-            words = LETTERS.findall(text.lower()) if text else []
+            words = words_of(text) if text else []
             if not words or not model.languages:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
@@ -155,7 +163,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", pred: str =
     labelled row every text is ``und``.
     """
     small_arrow_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by WORDS, GRAMS and the languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE and LANGUAGES
     state: dict = {}
 
     @F.pandas_udf("lang string, score double")

@@ -123,22 +123,35 @@ def span_text(spans: Column) -> Column:
 
 def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
                    mask: str = "<secret>") -> DataFrame:
-    """``docs`` with every span replaced by ``mask``; overlapping spans become one mask."""
-    found = (scan_secrets(docs, id_col, text_col, owner_col).where(F.size("spans") > 0)
-             .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans"))
-             .dropDuplicates(["__id", "__key"]))
+    """``docs`` with every span replaced by ``mask``; overlapping spans become one mask.
+
+    Null texts stay null, texts without a span and all other columns stay as
+    they are, repeated rows are masked alike, an empty table stays empty.  The
+    text is cut in an encoding of four bytes a character, where a piece costs
+    its own length, so a text with many spans takes linear time.
+    """
+    one = scan_secrets(docs, id_col, text_col, owner_col).where(F.size("spans") > 0).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "spans").dropDuplicates(["__id", "__key"])
+    each = one.select("__id", "__key", F.explode("spans").alias("s")).select("__id", "__key", "s.start", "s.end")
+    order = Window.partitionBy("__id", "__key").orderBy("start", "end")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = each.withColumn("new", F.when(before.isNull() | (F.col("start") >= before), 1).otherwise(0))
+    masks = fresh.withColumn("mask", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).groupBy("__id", "__key", "mask").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"))
+    found = masks.groupBy("__id", "__key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__masks"))
     text = text_of(docs, text_col)
     named = docs.withColumns({"__doc": docs[id_col].cast("long"), "__text": F.xxhash64(text)})
     joined = named.join(found, named["__doc"].eqNullSafe(found["__id"]) & (named["__text"] == found["__key"]), "left")
-    done = F.aggregate(
-        "__spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.struct(
-            F.greatest(a["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= a["at"],
-                   F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, (x["start"] - a["at"]).cast("int")), F.lit(mask)))
-            .otherwise(a["out"]).alias("out")),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"].cast("int") + 1, F.length(text))))
-    return joined.withColumn(text_col, F.when(F.col("__spans").isNull(), docs[text_col]).otherwise(done)).select(*docs.columns)
+    joined = joined.withColumn("__wide", F.when(F.col("__masks").isNotNull(), F.encode(text, "UTF-32")))
+
+    def piece(start: Column, end: Column) -> Column:
+        return F.decode(F.substring("__wide", (4 * start + 1).cast("int"), (4 * (end - start)).cast("int")), "UTF-32")
+
+    # "__wide" is named twice below, so Spark evaluates it once a row and not once a piece
+    heads = F.transform("__masks", lambda m, i: piece(F.when(i > 0, F.get("__masks", i - 1)["end"]).otherwise(F.lit(0)), m["start"]))
+    tail = piece(F.element_at("__masks", -1)["end"], F.length("__wide") / 4)
+    done = F.array_join(F.concat(heads, F.array(tail)), mask)
+    return joined.withColumn(text_col, F.when(F.col("__masks").isNull(), docs[text_col]).otherwise(done)).select(*docs.columns)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

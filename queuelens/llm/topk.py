@@ -53,12 +53,14 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whole-number inner products: in doubles where they are exact, else in 64-bit integers."""
+    """Whole-number inner products: in doubles where they are exact, else in 64-bit integers; an error where those could wrap."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
-    bound = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
+    bound = float(np.abs(a.astype(float)).max()) * float(np.abs(b.astype(float)).max()) * a.shape[1]
     if bound < EXACT:
         return (a.astype(float) @ b.T.astype(float)).astype(np.int64)
+    if bound >= 2.0 ** 63:
+        raise OverflowError("components are too large: an inner product may not fit into 64 bits")
     return a @ b.T
 
 

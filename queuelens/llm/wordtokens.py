@@ -14,8 +14,10 @@ from functools import cache
 
 import numpy as np
 
-CACHED_WORDS = 400_000   # per Python worker, about 80 MB; then it starts anew
-TOGETHER = 512           # words encoded in one call
+CACHED_BYTES = 96 << 20   # of remembered words and their ids in a Python worker; then it starts anew
+ENTRY_BYTES = 170         # of an entry besides its word and ids
+LONGEST_KEPT = 64         # bytes; a longer word (a text without spaces, say) is forgotten after its batch
+TOGETHER = 64             # words encoded in one call
 CLOSING = b".,;:!?"      # a single one of these behind letters is a word of its own
 
 
@@ -32,6 +34,8 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
     for token, i in tokenizer.get_vocab().items():
         ends[i] = token.endswith(suffix)
     known: dict[bytes, bytes] = {}
+    held = 0   # bytes of known
+    word_model = tokenizer.model
 
     def one_by_one(words: list[bytes]) -> None:
         for word, e in zip(words, tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
@@ -51,29 +55,46 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
                 known[word] = raw[at:c]
                 at = c
 
+    def merges(letters_: bytes) -> bytes:
+        """Ids of a lower-case ASCII word: nothing to normalise or split, the merges alone."""
+        return np.array([x.id for x in word_model.tokenize(letters_.decode())], "<u4").tobytes()
+
     def learn(new: set[bytes]) -> None:
-        plain, closed, other = set(), [], []
+        plain, other = [], []
+        for mark in (CLOSING[i:i + 1] for i in range(len(CLOSING))):
+            if mark not in known:
+                one_by_one([mark])
         for w in new:
-            if w.decode().isalpha():
-                plain.add(w)
-            elif len(w) > 1 and w[-1] in CLOSING and w[:-1].decode().isalpha():
-                closed.append(w)
-                if w[:-1] not in known:
-                    plain.add(w[:-1])
+            if w.isascii():
+                low = w.lower() if b"<" not in w else w
+                if low.isalpha():
+                    known[w] = merges(low)
+                elif low[-1] in CLOSING and low[:-1].isalpha():
+                    known[w] = (known.get(low[:-1]) or merges(low[:-1])) + known[low[-1:]]
+                else:
+                    other.append(w)
             else:
-                other.append(w)
-        letters(sorted(plain))
-        one_by_one(other + [x for x in (CLOSING[i:i + 1] for i in range(len(CLOSING))) if x not in known])
-        for w in closed:
-            known[w] = known[w[:-1]] + known[w[-1:]]
+                (plain if w.decode().isalpha() else other).append(w)
+        letters(plain)
+        one_by_one(other)
 
     def encode(texts: list[bytes]) -> list[bytes]:
-        if len(known) > CACHED_WORDS:
+        nonlocal held
+        if held > CACHED_BYTES:
             known.clear()
-        # A-Z may be folded first, except where a special token could arise from it
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        if new := set().union(*words).difference(known):
+            held = 0
+        # A-Z may be folded first only in ASCII texts (the tokenizer composes before it folds), and not
+        # where a special token could arise from it
+        words = [(t.lower() if t.isascii() and b"<|" not in t else t).split() for t in texts]
+        new = set().union(*words).difference(known)
+        if new:
             learn(new)
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        out = [b"".join(map(known.__getitem__, w)) for w in words]
+        for w in new:
+            if len(w) > LONGEST_KEPT:
+                del known[w]
+            else:
+                held += len(w) + len(known[w]) + ENTRY_BYTES
+        return out
 
     return encode

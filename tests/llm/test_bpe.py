@@ -51,3 +51,11 @@ def test_repeats_nulls_clashing_names_and_empty(spark):
     out = decode_ids(encode_texts(docs, PATH, P.PATTERN), PATH)
     assert sorted((bytes(r.decoded), len(r.ids)) for r in out.collect()) == [(b"", 0)] + [(b"a b", 2)] * 3
     assert encode_texts(spark.createDataFrame([], schema), PATH, P.PATTERN).count() == 0
+
+
+def test_unspaced_texts_are_not_kept():
+    t, encode = reference(), encoder.__wrapped__(PATH, P.PATTERN)
+    texts = ["".join(chr(0x4E00 + (i * j) % 2000) for j in range(1, 400)) for i in range(1, 60)] + ["a b", "x" * 5000]
+    assert [x.tolist() for x in encode(texts)] == [t.encode_ordinary(x) for x in texts]
+    caches = [c.cell_contents for c in encode.__closure__ if isinstance(c.cell_contents, dict)]
+    assert max((len(k) for c in caches for k in c), default=0) <= 64

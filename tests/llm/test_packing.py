@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 from zlib import crc32
 
@@ -15,7 +16,7 @@ from tests.llm.conftest import DOCS
 SF = "/root/testdata/sf0.01"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", None, "İ Σας ΣΑΣ <|endoftext|> <|ENDOFTEXT|> it's I'LL x.. a.,b é́ Å 12 3a   z q w\x1cq \x85 中文 字 áb ʼn ﬁ",
-       "ǅ ß ẞ K Å .x. a.' b.'s '", "word " * 9000, "tail"]
+       "ǅ ß ẞ K Å .x. a.' b.'s '", "word " * 9000, "tail", "J\u030c x", "H\u0331 T\u0308 W\u030a Y\u030a J\u030c! ELLE Elle. <b>", "中文字符没有空格" * 500]
 
 
 def check(rows, got):
@@ -62,6 +63,20 @@ def test_cached_encoder_equals_the_library():
         assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_random_marks_and_unspaced_texts_equal_the_library_in_bounded_memory(monkeypatch):
+    from queuelens.llm import wordtokens
+
+    monkeypatch.setattr(wordtokens, "CACHED_BYTES", 20_000)
+    tokenizer, encode, rnd = Tokenizer.from_file(WORDS), encoder.__wrapped__(WORDS), random.Random(3)
+    some = "JHTWYaAbÇçé 's.,:!?\u0331\u030c\u0308\u030a\u0301 İΣσςßẞǅﬁK1２½中文<|endoftext|>'x  \n"
+    for _ in range(40):
+        texts = ["".join(rnd.choice(some) for _ in range(rnd.randint(1, 60))) for _ in range(100)] + ["字" * 3000]
+        for text, raw in zip(texts, encode([t.encode() for t in texts]), strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    known = next(c.cell_contents for c in encode.__closure__ if isinstance(c.cell_contents, dict))
+    assert max(map(len, known)) <= wordtokens.LONGEST_KEPT and len(known) * wordtokens.ENTRY_BYTES < 10 * 20_000
+
+
 def test_plan_uses_the_histogram_up():
     rng = np.random.default_rng(0)
     h = {int(c): int(n) for c, n in zip(range(1, 129), rng.integers(0, 900, 128), strict=True)}

@@ -46,6 +46,24 @@ def test_redaction_merges_overlaps_and_keeps_the_rest(spark):
     assert out == "é1 <secret> ü <secret>."
 
 
+def test_masking_equals_the_spans_and_takes_linear_time(spark):
+    import time
+
+    rows = [(i, t, "s") for i, t in enumerate(TRICKY)] + [(90, "\U0001F600é deadbeefdeadbeef0 " * 400, "s"), (91, "ü deadbeefdeadbeef%05d " * 20_000 % tuple(range(20_000)), "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spans = {r.doc_id: r.spans for r in scan_secrets(docs).collect()}
+    start = time.time()
+    got = {r.doc_id: r.text for r in redact_secrets(docs).collect()}
+    assert time.time() - start < 60 and len(spans[91]) >= 20_000
+    for i, text, _ in rows:
+        out, at = [], 0
+        for s in spans[i]:
+            if s.start >= at:
+                out += [text[at:s.start], "<secret>"]
+            at = max(at, s.end)
+        assert got[i] == ("".join(out) + text[at:] if text is not None else None)
+
+
 def test_main_path_is_native(spark):
     from tests.conftest import explain_text
     plan = explain_text(op1_secret_scan(spark, SF))

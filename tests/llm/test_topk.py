@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from queuelens.llm import topk
 from queuelens.llm.common import table
-from queuelens.llm.topk import best_in_block, op6_top_k, top_k, whole_vectors
+from queuelens.llm.topk import _products, best_in_block, op6_top_k, top_k, whole_vectors
 
 SF = "/root/testdata/sf0.01"
 
@@ -73,3 +74,9 @@ def test_bad_vectors_few_rows_repeats_and_empty(spark):
 
 def test_large_components_stay_exact():
     assert topk._products(np.array([[2**30, 1]]), np.array([[2**30, 1]])).tolist() == [[2**60 + 1]]
+
+
+def test_products_that_may_wrap_are_an_error():
+    with pytest.raises(OverflowError):
+        _products(np.array([[3_000_000_000]]), np.array([[4_000_000_000]]))
+    assert _products(np.array([[1 << 40]]), np.array([[1 << 20]])).tolist() == [[1 << 60]]
