@@ -4,15 +4,16 @@ Documents with the same shingle set collapse into one set first.  Sets that
 agree on a whole band of their signature are candidates; a candidate's
 signatures are compared batch by batch, and it is dropped as soon as the
 posterior probability of reaching the similarity falls below ``MISS``.  What is
-left is confirmed on the full sets of shingles, read from the texts.
+left is confirmed on the full sets of shingles, hashed to 64 bits from the
+whole texts.
 
-Candidates come in two steps, so that no bucket's pairs are all written out.
+Candidates come in two steps, so that no bucket's pairs are ever written out.
 First every set meets the smallest set of each of its buckets, and the
 confirmed links give components.  Then only buckets that still hold several
-components are looked at again, and only pairs across components: small
-buckets by a join, large ones cut into blocks that are compared in numpy, of
-which only survivors leave the task.  A pair inside one component needs no
-link, so no component is split by this.
+components are looked at again, cut into blocks of bounded size: tasks compare
+pairs across components, and of each group only links that join components
+leave the task.  A pair inside one component needs no link, so no component is
+split by this.
 """
 
 from __future__ import annotations
@@ -35,8 +36,7 @@ BANDS, ROWS = 28, 5  # a pair at 80 percent misses all bands with probability (1
 HASHES = BANDS * ROWS
 BATCH = 20           # hashes compared at once
 MISS = 1e-6          # a pair is pruned when its posterior chance of being similar is below this
-SMALL_BUCKET = 64    # sets; larger buckets are cut into blocks
-BLOCK = 512          # sets of a block, about
+BLOCK_BYTES = 8 << 20   # signatures and shingles of a block of a bucket, about
 CHUNK = 1 << 10      # shingles hashed at once
 SEED = 42            # of XXH64
 
@@ -163,90 +163,126 @@ def survivors(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInPandas(each, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: int) -> DataFrame:
-    """The pairs whose full sets, as texts' shingles, have ``similar`` percent of their union in common; written."""
-    pairs = written(pairs, "survivors")
-    need = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sets.select("set_id", "doc_id", "text_key"), "set_id")
+def full_sets(wanted: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(set_id, n, sig, shingles) of the wanted set_ids, their 64-bit shingle hashes computed anew from the texts; written."""
+    need = wanted.select("set_id").distinct().join(sets, "set_id")
     text = text_of(docs, text_col)
     named = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text"))
-    found = named.join(need, named["id"].eqNullSafe(need["doc_id"]) & (named["key"] == need["text_key"])).select("set_id", "text")
+    found = named.join(need.select("set_id", "doc_id", "text_key"), named["id"].eqNullSafe(need["doc_id"]) & (named["key"] == need["text_key"]))
     one = Window.partitionBy("set_id").orderBy("set_id")   # rows that repeat id and text: one of them
-    texts = written(found.withColumn("k", F.row_number().over(one)).where("k = 1").drop("k"), "texts")
+    texts = found.select("set_id", "text").withColumn("k", F.row_number().over(one)).where("k = 1")
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: tuple[int | None, frozenset] = (None, frozenset())
+        for pdf in batches:
+            yield pd.DataFrame({"set_id": pdf["set_id"], "shingles": [shingle_hashes(t, shingle).tobytes() for t in pdf["text"]]})
+
+    hashed = texts.select("set_id", "text").mapInPandas(each, "set_id long, shingles binary")
+    return written(hashed.join(need.select("set_id", "n", "sig"), "set_id").select("set_id", "n", "sig", "shingles"), "full_sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: int) -> DataFrame:
+    """The pairs whose full sets have ``similar`` percent of their union in common; written."""
+    pairs = written(pairs, "survivors")
+    full = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("set_id")), sets, docs, id_col, text_col, shingle)
 
-        def whole(t: bytes) -> frozenset:
-            words = t.lower().split()
-            n = min(shingle, len(words))
-            return frozenset(zip(*(words[i:len(words) - n + 1 + i] for i in range(n)), strict=True))
+    def side(x: str) -> DataFrame:
+        return full.select(F.col("set_id").alias(x), F.col("shingles").alias(f"in_{x}"))
 
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             stay = []
-            for a, ta, tb in zip(pdf["a"], pdf["text_a"], pdf["text_b"], strict=True):
-                if held[0] != a:
-                    held = (a, whole(ta))
-                other = whole(tb)
-                common = len(held[1] & other)
-                stay.append(100 * common >= similar * (len(held[1]) + len(other) - common))
+            for a, b in zip(pdf["in_a"], pdf["in_b"], strict=True):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                stay.append(100 * common >= similar * (len(x) + len(y) - common))
             yield pdf.loc[stay, ["a", "b"]]
 
-    # the side with few texts per pair comes last, so that pairs of one ``a`` lie together
-    both = pairs.join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = both.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return written(both.select("a", "b", "text_a", "text_b").mapInPandas(each, "a long, b long"), "links")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return written(both.select("a", "b", "in_a", "in_b").mapInPandas(each, "a long, b long"), "links")
 
 
-def across(members: DataFrame, tried: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket that the sequential test leaves.
+def linked_in_group(sets: pd.DataFrame, band: int, i: int, j: int, similar: int) -> list[tuple[int, int]]:
+    """Links across components among one bucket's sets (block i against block j), confirmed on their full sets.
 
-    members: (band, key, set_id, root, size), buckets with several components only.
+    Components that a link joins count as one from then on, so there are fewer
+    links than sets.  A pair is looked at only in the first band it shares.
     """
-    def side(x: str) -> DataFrame:
-        return members.where(F.col("size") <= SMALL_BUCKET).select("band", "key", F.col("set_id").alias(x), F.col("root").alias(f"root_{x}"))
-
-    few = (side("a").join(side("b"), ["band", "key"]).where("a < b and root_a <> root_b").select("a", "b").distinct()
-           .join(tried, ["a", "b"], "left_anti"))
-    few = survivors(few, sets, similar)
-
-    many = members.where(F.col("size") > SMALL_BUCKET).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
-    many = many.withColumn("own", F.pmod(F.xxhash64("set_id"), "blocks"))
-    dealt = many.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+    ids, sizes, own = (sets[c].to_numpy(np.int64) for c in ("set_id", "n", "own"))
+    sig = _signatures(sets["sig"])
+    bands = sig.reshape(len(sig), BANDS, ROWS)
+    shingles = [np.frombuffer(x, np.uint64) for x in sets["shingles"]]
+    label = np.unique(sets["root"], return_inverse=True)[1]
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    links = []
+    for x in left:
+        ys = right[right > x] if i == j else right
+        ys = ys[(label[ys] != label[x]) & (100 * np.minimum(sizes[ys], sizes[x]) >= similar * np.maximum(sizes[ys], sizes[x]))]
+        if band and len(ys):
+            ys = ys[~(bands[ys, :band] == bands[x, :band]).all(2).any(1)]
+        ys = ys[plausible(np.broadcast_to(sig[x], (len(ys), HASHES)), sig[ys], similar)]
+        ys = ys[np.argsort(-(sig[ys] == sig[x]).sum(1), kind="stable")]
+        step = 8
+        while len(ys):   # the likeliest first: a link often leaves nothing more to look at
+            part, ys = ys[:step], ys[step:]
+            step *= 2
+            flat = np.concatenate([shingles[y] for y in part])
+            at = np.minimum(np.searchsorted(shingles[x], flat), len(shingles[x]) - 1)
+            common = np.add.reduceat(shingles[x][at] == flat, np.cumsum([0, *sizes[part[:-1]]]), dtype=np.int64)
+            for y in part[100 * common >= similar * (sizes[x] + sizes[part] - common)]:
+                if label[y] != label[x]:
+                    links.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    label[label == label[y]] = label[x]
+            ys = ys[label[ys] != label[x]]
+    return links
+
+
+def across(members: DataFrame, full: DataFrame, similar: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket, written.
+
+    members: (band, key, set_id, root), buckets with several components only;
+    full: (set_id, n, sig, shingles).  A bucket is cut into blocks of
+    ``BLOCK_BYTES``, and every two blocks meet in one group of a task.
+    """
+    sized = members.join(full.select("set_id", (8 * F.col("n") + 4 * HASHES).alias("bytes")), "set_id")
+    blocks = sized.groupBy("band", "key").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).alias("blocks"))
+    dealt = members.join(blocks, ["band", "key"]).withColumn("own", F.pmod(F.xxhash64("set_id"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set_id", "root")
-    dealt = dealt.join(sets.select("set_id", "n", "sig"), "set_id")
+    group = ["band", "key", "i", "j"]
+    dealt = dealt.join(full, "set_id").repartition(*group).sortWithinPartitions(*group)
 
-    def each(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        own = pdf["own"].to_numpy()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        ids, roots, sizes = (pdf[c].to_numpy(np.int64) for c in ("set_id", "root", "n"))
-        sig = _signatures(pdf["sig"])
-        out = [np.zeros((0, 2), np.int64)]
-        for x in left:
-            ys = right[(roots[right] != roots[x]) & (100 * np.minimum(sizes[right], sizes[x]) >= similar * np.maximum(sizes[right], sizes[x]))]
-            ys = ys[ids[ys] > ids[x]] if i == j else ys
-            ys = ys[plausible(np.broadcast_to(sig[x], (len(ys), HASHES)), sig[ys], similar)]
-            out.append(np.column_stack([np.minimum(ids[x], ids[ys]), np.maximum(ids[x], ids[ys])]))
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            keys = held[group].to_numpy(np.int64)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist()]
+            links = []
+            for lo, hi in zip(cuts, cuts[1:], strict=False):   # the last group may go on in the next batch
+                links += linked_in_group(held.iloc[lo:hi], *keys[lo, [0, 2, 3]].tolist(), similar)
+            held = held.iloc[cuts[-1]:].reset_index(drop=True)
+            yield pd.DataFrame(links, columns=["a", "b"])
+        if held is not None and len(held):
+            yield pd.DataFrame(linked_in_group(held, *held[["band", "i", "j"]].iloc[0].tolist(), similar), columns=["a", "b"])
 
-    return few.union(dealt.groupBy("band", "key", "i", "j").applyInPandas(each, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti"))
+    columns = [*group, "own", "set_id", "root", "n", "sig", "shingles"]
+    return written(dealt.select(*columns).mapInPandas(each, "a long, b long"), "links_across")
 
 
 def set_roots(sets: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similar: int) -> DataFrame:
     """(node, root) of the linked sets."""
     keyed = buckets(sets)
-    shared = written(keyed.groupBy("band", "key").agg(F.min("set_id").alias("a"), F.count("*").alias("size")).where("size > 1"), "buckets")
-    members = written(keyed.join(shared, ["band", "key"]).select("band", "key", "set_id", "a", "size"), "bucket_members")
-    tried = written(members.where("set_id <> a").select("a", F.col("set_id").alias("b")).distinct(), "leader_pairs")
-    links = confirmed(survivors(tried, sets, similar), sets, docs, id_col, text_col, shingle, similar)
+    shared = written(keyed.groupBy("band", "key").agg(F.min("set_id").alias("a"), F.count("*").alias("size")).where("size > 1").drop("size"), "buckets")
+    members = written(keyed.join(shared, ["band", "key"]).select("band", "key", "set_id", "a"), "bucket_members")
+    leaders = members.where("set_id <> a").select("a", F.col("set_id").alias("b")).distinct()
+    links = confirmed(survivors(leaders, sets, similar), sets, docs, id_col, text_col, shingle, similar)
     roots = written(components(links), "leader_roots")
 
     rooted = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    rooted = written(rooted.select("band", "key", "set_id", "root", "size"), "rooted")
+    rooted = written(rooted.select("band", "key", "set_id", "root"), "rooted")
     open_ = rooted.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", "key")
     rest = written(rooted.join(open_, ["band", "key"]), "open_buckets")
-    more = confirmed(across(rest, tried, sets, similar).distinct(), sets, docs, id_col, text_col, shingle, similar)
-    return components(links.union(more))
+    return components(links.union(across(rest, full_sets(rest, sets, docs, id_col, text_col, shingle), similar)))
 
 
 def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,

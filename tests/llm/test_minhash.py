@@ -71,8 +71,7 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     rng = random.Random(2)
     words = [f"w{i}" for i in range(60)]   # a family whose members mostly miss the threshold: many components share buckets
     rows = [(i, edited(rng, words, rng.randrange(1, 5))) for i in range(120)]
-    monkeypatch.setattr(M, "SMALL_BUCKET", 4)
-    monkeypatch.setattr(M, "BLOCK", 8)
+    monkeypatch.setattr(M, "BLOCK_BYTES", 9000)
     want = brute(rows)
     assert 2 < len({r[2] for r in want}) < 110 and run(spark, rows, shingle=2) == want
 
