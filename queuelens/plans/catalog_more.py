@@ -467,6 +467,14 @@ def pii_mask(spark, d):
                     privacy.mask_customer("customer_id", PII_SALT).alias("customer_token"))
 
 
+def pii_hmac(spark, d):
+    path = scratch_path(spark, "pii_key")
+    # the registry's key: the salt's characters, written as a text file (and so with a line end)
+    spark.createDataFrame([(PII_SALT,)], "value string").coalesce(1).write.text(path)
+    r = _raw(spark, d).select("ingest_seq", F.col("ticket_id").cast("long").alias("ticket_id"), "customer_id")
+    return privacy.mask_customers(r, f"{path}/part-*.txt").drop("customer_id")
+
+
 # ------------------------------------------------------------ catalog check
 
 def v1_catalog(spark, d):
@@ -523,7 +531,7 @@ def more_registry():
         "r_target_gap": _on_star(R.r_target_gap), "v1_catalog": v1_catalog,
         "st_clean_ingest": st_clean_ingest, "st_ingest_compacted": st_ingest_compacted, "st_at_risk": st_at_risk,
         "st_at_risk_stream": st_at_risk_stream, "st_unassigned_stream": st_unassigned_stream,
-        "st_unassigned_escalation": st_unassigned_escalation, "pii_mask": pii_mask,
+        "st_unassigned_escalation": st_unassigned_escalation, "pii_mask": pii_mask, "pii_hmac": pii_hmac,
         **MART_REGISTRY,
     }
     return reg
