@@ -6,6 +6,10 @@
     spark-submit -m queuelens.jobs mart    --star STAR --out MART
     spark-submit -m queuelens.jobs panels  --star STAR --out PANELS [--start DAY --end DAY --category NAME ... --channel NAME ... --incident-only]
     spark-submit -m queuelens.jobs export  --star STAR --out CSV    [the same selection]
+    spark-submit -m queuelens.jobs datasets --star STAR --out DATASETS
+    spark-submit -m queuelens.jobs sql     --star STAR --query FILE --out CSV
+    spark-submit -m queuelens.jobs ingest  --source CSV_DROPS --sink SINK --checkpoint CKPT --as-of "..."
+    spark-submit -m queuelens.jobs compact --sink SINK
 
 (or ``python -m queuelens.jobs ...`` with a local master).  Each job reads
 and writes shared storage only; nothing but small result counts reaches the
@@ -106,6 +110,51 @@ def job_export(spark: SparkSession, star_path: str, out: str, choice) -> dict:
     return {"rows": spark.read.option("header", True).options(**CSV_QUOTES, multiLine="true").csv(out).count()}
 
 
+def job_datasets(spark: SparkSession, star_path: str, out: str) -> dict:
+    """The workbook, preview, sanity and report datasets over a written star, each as CSV."""
+    from queuelens.plans import dashboards, reports
+    from queuelens.plans.model import read_star
+    from queuelens.sources.sinks import EXPORT
+
+    star = read_star(spark, star_path)
+    named = {k: fn for module in (dashboards, reports) for k, fn in vars(module).items() if k.split("_")[0] in ("x", "p", "bd", "r") and callable(fn)}
+    for key, fn in named.items():
+        fn(star).write.mode("overwrite").options(**EXPORT).csv(f"{out}/{key}")
+    return {"datasets": sorted(named)}
+
+
+def job_sql(spark: SparkSession, star_path: str, query: str, out: str) -> dict:
+    """One SQL statement, read from a file, over the tables of a written star; the answer as CSV."""
+    from queuelens.plans.model import read_star
+    from queuelens.sources.files import sql_view
+    from queuelens.sources.sinks import EXPORT
+
+    star = read_star(spark, star_path)
+    text = spark.read.text(query, wholetext=True).first()[0]
+    tables = {"fact_complaints": star.fact, "dim_category": star.dim_category, "dim_channel": star.dim_channel, "dim_agent": star.dim_agent}
+    answer = sql_view(spark, text.strip().rstrip(";"), tables)
+    answer.write.mode("overwrite").options(**EXPORT).csv(out)
+    return {"columns": answer.columns}
+
+
+def job_ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, as_of: str, numbered: bool | None = None) -> dict:
+    """Take in what has arrived since the last run, then stop."""
+    from queuelens.streaming.compaction import last_manifest, tail_batches
+    from queuelens.streaming.ingest import start_clean_ingest
+
+    start_clean_ingest(spark, source, sink, checkpoint, as_of, numbered=numbered).awaitTermination()
+    m = last_manifest(spark, sink)
+    return {"batches_to_merge": len(tail_batches(spark, sink, m.through if m else -1))}
+
+
+def job_compact(spark: SparkSession, sink: str) -> dict:
+    """Merge the batches taken in so far; merged tables that nobody needs any more go."""
+    from queuelens.streaming.compaction import compact, drop_unread
+
+    m = compact(spark, sink)
+    return {"version": m.version if m else None, "dropped": drop_unread(spark, sink)}
+
+
 def _choice(args):
     from queuelens.operators.filters import TicketFilter
 
@@ -139,6 +188,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         f.add_argument("--category", action="append")
         f.add_argument("--channel", action="append")
         f.add_argument("--incident-only", action="store_true")
+    for name, options in {"datasets": ("--star", "--out"), "sql": ("--star", "--query", "--out"),
+                          "ingest": ("--source", "--sink", "--checkpoint", "--as-of"), "compact": ("--sink",)}.items():
+        d = sub.add_parser(name)
+        for a in options:
+            d.add_argument(a, required=True)
     args = p.parse_args(argv)
 
     if spark is None:
@@ -155,6 +209,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = job_catalog(spark, args.star, args.out)
     elif args.job in ("panels", "export"):
         result = {"panels": job_panels, "export": job_export}[args.job](spark, args.star, args.out, _choice(args))
+    elif args.job == "datasets":
+        result = job_datasets(spark, args.star, args.out)
+    elif args.job == "sql":
+        result = job_sql(spark, args.star, args.query, args.out)
+    elif args.job == "ingest":
+        result = job_ingest(spark, args.source, args.sink, args.checkpoint, args.as_of)
+    elif args.job == "compact":
+        result = job_compact(spark, args.sink)
     else:
         result = job_mart(spark, args.star, args.out)
     print(json.dumps({"job": args.job, **result}))

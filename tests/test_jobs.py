@@ -42,3 +42,25 @@ def test_jobs_end_to_end(spark):
     assert jobs.main(["panels", *choice, "--out", f"{base}/panels"], spark) == {"panels": 6}
     n = int(spark.read.option("header", True).csv(f"{base}/panels/match_count").first()[0])
     assert 0 < n == jobs.main(["export", *choice, "--out", f"{base}/detail"], spark)["rows"]
+
+    made = jobs.main(["datasets", "--star", f"{base}/star", "--out", f"{base}/datasets"], spark)["datasets"]
+    assert {"x_kpis", "x_detail", "p_incident", "bd_sanity", "r_target_gap", "r_salary_lift"} <= set(made)
+    assert all(spark.read.option("header", True).csv(f"{base}/datasets/{k}").count() > 0 for k in made)
+
+    spark.createDataFrame([("SELECT team, count(*) AS n\nFROM fact_complaints JOIN dim_agent USING (agent_id) GROUP BY team;",)], "q string") \
+        .coalesce(1).write.text(f"{base}/query")
+    assert jobs.main(["sql", "--star", f"{base}/star", "--query", f"{base}/query", "--out", f"{base}/by_team"], spark)["columns"] == ["team", "n"]
+    assert sum(int(r.n) for r in spark.read.option("header", True).csv(f"{base}/by_team").collect()) == 4_599
+
+
+def test_ingest_and_compact_jobs(spark):
+    from queuelens.streaming.ingest import read_ingested
+
+    base = scratch_path(spark, "jobs_ingest")
+    sinks.write_raw_csv(materialized_raw(spark, SF_SMALL), f"{base}/drops/a")
+    run = ["ingest", "--source", f"{base}/drops/*", "--sink", f"{base}/sink", "--checkpoint", f"{base}/ckpt", "--as-of", fixtures.AS_OF]
+    assert jobs.main(run, spark)["batches_to_merge"] == 1
+    assert jobs.main(["compact", "--sink", f"{base}/sink"], spark) == {"version": 1, "dropped": 0}
+    assert jobs.main(run, spark)["batches_to_merge"] == 0
+    assert jobs.main(["compact", "--sink", f"{base}/sink"], spark) == {"version": None, "dropped": 0}
+    assert read_ingested(spark, f"{base}/sink").count() == 4_599
