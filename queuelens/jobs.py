@@ -4,7 +4,7 @@
     spark-submit -m queuelens.jobs star    --clean CLEAN --category CAT_CSV --channel CH_CSV --agent AG_CSV --out STAR
     spark-submit -m queuelens.jobs catalog --star STAR --out RESULTS
     spark-submit -m queuelens.jobs mart    --star STAR --out MART
-    spark-submit -m queuelens.jobs panels  --star STAR --out PANELS [--start DAY --end DAY --category NAME ... --channel NAME ... --incident-only]
+    spark-submit -m queuelens.jobs panels  --star STAR | --mart MART --out PANELS [--start DAY --end DAY --category NAME ... --channel NAME ... --incident-only]
     spark-submit -m queuelens.jobs export  --star STAR --out CSV    [the same selection]
     spark-submit -m queuelens.jobs datasets --star STAR --out DATASETS
     spark-submit -m queuelens.jobs sql     --star STAR --query FILE --out CSV
@@ -75,26 +75,31 @@ def job_catalog(spark: SparkSession, star_path: str, out: str) -> dict:
 
 
 def job_mart(spark: SparkSession, star_path: str, out: str) -> dict:
-    from queuelens.plans.mart import build_agent_mart, build_hours_histogram, build_mart, mart_enriched
+    from queuelens.plans.mart import build_agent_mart, build_cause_mart, build_hours_histogram, build_mart, mart_enriched
     from queuelens.plans.model import read_star
 
     star = read_star(spark, star_path)
     mart_enriched(build_mart(star.fact), star).write.mode("overwrite").parquet(f"{out}/daily")
+    mart_enriched(build_cause_mart(star.fact), star).write.mode("overwrite").parquet(f"{out}/causes")
     build_agent_mart(star.fact).write.mode("overwrite").parquet(f"{out}/agents")
     build_hours_histogram(star.fact).write.mode("overwrite").parquet(f"{out}/hours_histogram")
     return {"mart_rows": spark.read.parquet(f"{out}/daily").count()}
 
 
-def job_panels(spark: SparkSession, star_path: str, out: str, choice) -> dict:
-    """The filter panels of one selection, each as CSV; the star is scanned once for all of them."""
+def job_panels(spark: SparkSession, out: str, choice, star_path: str | None = None, mart_path: str | None = None) -> dict:
+    """The filter panels of one selection, each as CSV: from the marts, or from one scan of the star."""
     from queuelens.operators import filters
+    from queuelens.plans.mart import mart_panels
     from queuelens.plans.model import read_star
     from queuelens.session import scratch_path
 
-    aside = scratch_path(spark, "panel_cube")
-    cube = filters.panel_cube(filters.t_filter(filters.t_panel(read_star(spark, star_path)), choice))
-    cube.write.parquet(aside)
-    panels = filters.panels_of(spark.read.schema(cube.schema).parquet(aside))
+    if mart_path:
+        panels = mart_panels(spark.read.parquet(f"{mart_path}/daily"), spark.read.parquet(f"{mart_path}/causes"), choice)
+    else:
+        aside = scratch_path(spark, "panel_cube")
+        cube = filters.panel_cube(filters.t_filter(filters.t_panel(read_star(spark, star_path)), choice))
+        cube.write.parquet(aside)
+        panels = filters.panels_of(spark.read.schema(cube.schema).parquet(aside))
     for name, df in panels.items():
         df.write.mode("overwrite").option("header", True).options(**CSV_QUOTES).csv(f"{out}/{name}")
     return {"panels": len(panels)}
@@ -181,7 +186,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     m.add_argument("--out", required=True)
     for name in ("panels", "export"):
         f = sub.add_parser(name)
-        f.add_argument("--star", required=True)
+        source = f.add_mutually_exclusive_group(required=True)
+        source.add_argument("--star")
+        if name == "panels":
+            source.add_argument("--mart")
         f.add_argument("--out", required=True)
         f.add_argument("--start")
         f.add_argument("--end")
@@ -207,8 +215,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         result = job_star(spark, args.clean, args.category, args.channel, args.agent, args.out)
     elif args.job == "catalog":
         result = job_catalog(spark, args.star, args.out)
-    elif args.job in ("panels", "export"):
-        result = {"panels": job_panels, "export": job_export}[args.job](spark, args.star, args.out, _choice(args))
+    elif args.job == "panels":
+        result = job_panels(spark, args.out, _choice(args), args.star, args.mart)
+    elif args.job == "export":
+        result = job_export(spark, args.star, args.out, _choice(args))
     elif args.job == "datasets":
         result = job_datasets(spark, args.star, args.out)
     elif args.job == "sql":

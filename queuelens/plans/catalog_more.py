@@ -379,7 +379,8 @@ def _mart_panel(fn):
     """A filter panel from the daily mart."""
     def run(spark, d):
         s = _star(spark, d)
-        return fn(M.mart_filter(M.mart_enriched(M.build_mart(s.fact), s), REGISTRY_FILTER))
+        build = M.build_cause_mart if fn is M.mart_t_root_causes8 else M.build_mart
+        return fn(M.mart_filter(M.mart_enriched(build(s.fact), s), REGISTRY_FILTER))
     return run
 
 

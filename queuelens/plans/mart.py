@@ -1,9 +1,10 @@
 """Additive marts from which part of the catalog and the filter panels roll up.
 
 The daily mart's grain is (day, category, channel, incident flag, status,
-breach flag, root cause): bounded by the calendar and the dimensions, so it
-stops growing while tickets keep coming.  Agents, who grow with the data, have
-a mart of their own by month, and the hour distribution is a third table.
+breach flag): bounded by the calendar and a few small dimensions, so it stops
+growing while tickets keep coming.  What would multiply it has marts of its
+own: root causes, which only one panel reads (breached tickets by day,
+category, channel and cause), agents by month, and the hour distribution.
 Measures are additive (ticket count, exact DECIMAL hour and amount sums and
 their non-NULL counts).  From them come the questions A1, B1, C2, C4, E1 (daily),
 D2 (agents) and B4 (hours), and the filter panels.
@@ -20,13 +21,20 @@ from queuelens.functions import sla
 from queuelens.plans import queries as Q
 from queuelens.plans.model import Star
 
-MART_KEYS = ["day", "category_id", "channel_id", "is_incident_day", "status", "sla_breached", "root_cause"]
+MART_KEYS = ["day", "category_id", "channel_id", "is_incident_day", "status", "sla_breached"]
+CAUSE_KEYS = ["day", "category_id", "channel_id", "is_incident_day", "root_cause"]
 
 
 def build_mart(fact: DataFrame) -> DataFrame:
     return _additive(fact, F.to_date("opened_at").alias("day"), *MART_KEYS[1:])
 
 
+def build_cause_mart(fact: DataFrame) -> DataFrame:
+    """Breached tickets with a root cause, by day, category, channel, incident flag and cause."""
+    breached = fact.where((F.col("sla_breached") == 1) & F.col("root_cause").isNotNull())
+    return breached.groupBy(F.to_date("opened_at").alias("day"), *CAUSE_KEYS[1:]).agg(F.count(F.lit(1)).alias("tickets"))
+
+
 def build_agent_mart(fact: DataFrame) -> DataFrame:
     return _additive(fact, sla.month_key("opened_at").alias("month"), "agent_id", "sla_breached")
 
@@ -173,11 +181,18 @@ def mart_t_channel_counts(fm: DataFrame) -> DataFrame:
     return fm.groupBy("channel_name").agg(F.sum("tickets").alias("tickets"))
 
 
-def mart_t_root_causes8(fm: DataFrame, k: int = 8) -> DataFrame:
-    b = fm.filter((F.col("sla_breached") == 1) & F.col("root_cause").isNotNull())
-    return (b.groupBy("root_cause").agg(F.sum("tickets").alias("breached_tickets"))
+def mart_t_root_causes8(fc: DataFrame, k: int = 8) -> DataFrame:
+    """From the filtered cause mart."""
+    return (fc.groupBy("root_cause").agg(F.sum("tickets").alias("breached_tickets"))
             .orderBy(F.desc("breached_tickets"), "root_cause").limit(k))
 
 
 def mart_t_match_count(fm: DataFrame) -> DataFrame:
     return fm.agg(F.coalesce(F.sum("tickets"), F.lit(0)).cast("bigint").alias("matching_tickets"))
+
+
+def mart_panels(daily: DataFrame, causes: DataFrame, f) -> dict[str, DataFrame]:
+    """The six panels of a selection from the written marts (names attached)."""
+    fm, fc = mart_filter(daily, f), mart_filter(causes, f)
+    return {"kpis": mart_t_kpis(fm), "category": mart_t_category(fm), "monthly": mart_t_monthly(fm),
+            "channel_counts": mart_t_channel_counts(fm), "root_causes": mart_t_root_causes8(fc), "match_count": mart_t_match_count(fm)}

@@ -40,6 +40,10 @@ def test_jobs_end_to_end(spark):
 
     choice = ["--star", f"{base}/star", "--start", "1998-01-01", "--end", "1998-12-31", "--channel", "1-URGENT"]
     assert jobs.main(["panels", *choice, "--out", f"{base}/panels"], spark) == {"panels": 6}
+    assert jobs.main(["panels", "--mart", f"{base}/mart", *choice[2:], "--out", f"{base}/mart_panels"], spark) == {"panels": 6}
+    for name in ("kpis", "category", "monthly", "channel_counts", "root_causes", "match_count"):
+        both = [sorted(map(tuple, spark.read.option("header", True).csv(f"{base}/{x}/{name}").collect())) for x in ("panels", "mart_panels")]
+        assert both[0] == both[1], name
     n = int(spark.read.option("header", True).csv(f"{base}/panels/match_count").first()[0])
     assert 0 < n == jobs.main(["export", *choice, "--out", f"{base}/detail"], spark)["rows"]
 
