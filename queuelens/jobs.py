@@ -36,7 +36,8 @@ def job_clean(spark: SparkSession, raw: str, out: str, as_of: str) -> dict:
     return run_clean_pipeline(read_raw_csv(spark, raw), as_of, out)
 
 
-def job_star(spark: SparkSession, clean: str, category: str, channel: str, agent: str, out: str) -> dict:
+def job_star(spark: SparkSession, clean: str, category: str, channel: str, agent: str, out: str,
+             layout: str = "time") -> dict:
     from queuelens.operators import quality
     from queuelens.plans.model import Star, add_unassigned, write_star
     from queuelens.schemas import FACT_COLUMNS
@@ -55,7 +56,7 @@ def job_star(spark: SparkSession, clean: str, category: str, channel: str, agent
     if any(orphans.values()):
         raise quality.DataQualityError(f"foreign keys without a dimension member: {orphans}")
     staged = f"{out.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    write_star(star, staged)    # four tables that belong together are published together
+    write_star(star, staged, layout)    # four tables that belong together are published together
     replace_folder(spark, staged, out)
     return {"orphans": orphans}
 
@@ -178,6 +179,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     s = sub.add_parser("star")
     for a in ("--clean", "--category", "--channel", "--agent", "--out"):
         s.add_argument(a, required=True)
+    s.add_argument("--layout", choices=("time", "interleaved"), default="time")
     q = sub.add_parser("catalog")
     q.add_argument("--star", required=True)
     q.add_argument("--out", required=True)
@@ -212,7 +214,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.job == "clean":
         result = job_clean(spark, args.raw, args.out, args.as_of)
     elif args.job == "star":
-        result = job_star(spark, args.clean, args.category, args.channel, args.agent, args.out)
+        result = job_star(spark, args.clean, args.category, args.channel, args.agent, args.out, args.layout)
     elif args.job == "catalog":
         result = job_catalog(spark, args.star, args.out)
     elif args.job == "panels":

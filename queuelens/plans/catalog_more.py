@@ -148,6 +148,14 @@ def sk_star(spark, d):
     return read_star(spark, path).fact.select(*FACT_COLUMNS)
 
 
+def sk_star_interleaved(spark, d):
+    """The star in the interleaved layout, read back through filters on its keys."""
+    path = scratch_path(spark, "star_interleaved")
+    write_star(_star(spark, d), path, layout="interleaved")
+    fact = read_star(spark, path).fact
+    return fact.where("category_id in (3, 4) and channel_id = 2 and day(opened_at) <= 10").select(*FACT_COLUMNS)
+
+
 def sk_unassigned(spark, d):
     return add_unassigned(fixtures.dim_agent_base(spark, d))
 
@@ -500,7 +508,7 @@ def v1_catalog(spark, d):
 def more_registry():
     reg = {
         "src_raw_csv": src_raw_csv, "src_raw_multiline": src_raw_multiline, "src_dims_csv": src_dims_csv, "src_clean": src_clean,
-        "src_sql_view": src_sql_view, "sk_clean_csv": sk_clean_csv, "sk_star": sk_star,
+        "src_sql_view": src_sql_view, "sk_clean_csv": sk_clean_csv, "sk_star": sk_star, "sk_star_interleaved": sk_star_interleaved,
         "sk_unassigned": sk_unassigned, "sk_detail_csv": sk_detail_csv,
         "sc_star": sc_star, "dq_pk_unique": dq_pk_unique, "dq_not_null": dq_not_null,
         "dq_domain": dq_domain, "dq_fk": dq_fk, "dq_unparsed": dq_unparsed, "dq_counts": dq_counts,
