@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from array import array
 from collections.abc import Callable
 from functools import cache
 
@@ -18,12 +20,16 @@ CACHED_BYTES = 96 << 20   # of remembered words and their ids in a Python worker
 ENTRY_BYTES = 170         # of an entry besides its word and ids
 LONGEST_KEPT = 64         # bytes; a longer word (a text without spaces, say) is forgotten after its batch
 TOGETHER = 64             # words encoded in one call
-CLOSING = b".,;:!?"      # a single one of these behind letters is a word of its own
+
+# What the tokenizer's own pattern cuts a lower-case ASCII word into, and the printable ASCII
+# characters, which its byte alphabet leaves as they are.
+ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+PRINTABLE = bytes(range(33, 127))
 
 
 @cache
 def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
-    """A function from UTF-8 texts to their ids as little-endian 32-bit bytes."""
+    """A function from UTF-8 texts to their ids as 32-bit bytes, little-endian like the machines Spark runs on."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -39,13 +45,14 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
 
     def one_by_one(words: list[bytes]) -> None:
         for word, e in zip(words, tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
-            known[word] = np.array(e.ids, "<u4").tobytes()
+            known[word] = array("I", e.ids).tobytes()
 
     def letters(words: list[bytes]) -> None:
         """Words of letters alone are one pre-token each: encode many together and cut behind each end of word."""
-        for i in range(0, len(words), TOGETHER):
-            part = words[i:i + TOGETHER]
-            ids = np.array(tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+        parts = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        together = tokenizer.encode_batch_fast([b" ".join(p).decode() for p in parts], add_special_tokens=False)
+        for part, e in zip(parts, together, strict=True):
+            ids = np.array(e.ids, "<u4")
             cuts = np.flatnonzero(ends[ids]) + 1
             if len(cuts) != len(part) or cuts[-1] != len(ids):
                 one_by_one(part)
@@ -56,25 +63,19 @@ def encoder(path: str) -> Callable[[list[bytes]], list[bytes]]:
                 at = c
 
     def merges(letters_: bytes) -> bytes:
-        """Ids of a lower-case ASCII word: nothing to normalise or split, the merges alone."""
-        return np.array([x.id for x in word_model.tokenize(letters_.decode())], "<u4").tobytes()
+        """Ids of one ASCII piece: nothing to normalise or split, the merges alone."""
+        return array("I", [x.id for x in word_model.tokenize(letters_.decode())]).tobytes()
 
     def learn(new: set[bytes]) -> None:
         plain, other = [], []
-        for mark in (CLOSING[i:i + 1] for i in range(len(CLOSING))):
-            if mark not in known:
-                one_by_one([mark])
         for w in new:
-            if w.isascii():
-                low = w.lower() if b"<" not in w else w
-                if low.isalpha():
-                    known[w] = merges(low)
-                elif low[-1] in CLOSING and low[:-1].isalpha():
-                    known[w] = (known.get(low[:-1]) or merges(low[:-1])) + known[low[-1:]]
-                else:
-                    other.append(w)
-            else:
+            if not w.isascii():
                 (plain if w.decode().isalpha() else other).append(w)
+            elif b"<" in w or w.translate(None, PRINTABLE):   # perhaps a special token, or a control character
+                other.append(w)
+            else:
+                low = w.lower()
+                known[w] = merges(low) if low.isalpha() else b"".join([known.get(p) or merges(p) for p in ASCII_PIECES.findall(low)])
         letters(plain)
         one_by_one(other)
 
