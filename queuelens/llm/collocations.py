@@ -32,8 +32,10 @@ TOP = 2000            # phrases reported a language
 UNKNOWN = "und"
 
 WORDS_AT_ONCE = 500_000   # words of a broadcast dictionary, about 75 MB in a Python worker
-SHARD = 1_000_000         # transitions of a broadcast trie shard, about 30 MB
-HELD = 1_000_000          # counts that a task holds before it passes them on
+SHARD = 1_000_000         # transitions of a broadcast trie shard, about 40 MB
+HELD_WORDS = 300_000      # words that a task counts before it passes them on
+HELD = 2_000_000          # candidates that a task holds before it passes them on
+ROW = 4096                # words of a row of texts, about
 
 # What ends a piece.  A piece's end becomes the word ".", which no text can hold.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -59,7 +61,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for pdf in batches:
             for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
                 held[lang].update(words_of(text))
-                if sum(map(len, held.values())) > HELD:
+                if sum(map(len, held.values())) > HELD_WORDS:
                     yield out()
         yield out()
 
@@ -84,10 +86,27 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return written(parts.withColumn("id", (F.create_map(*first)[F.col("part")] + own).cast("int")).drop("part"), f"{name}_numbered")
 
 
+def compact(words: np.ndarray, states: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Without what no longer phrase can use: only words inside phrases of ``length`` words that have a state stay.
+
+    What is left out between two stretches, and behind the last, becomes a
+    single 0.  The stretches themselves are unchanged, so neighbours stay
+    neighbours.
+    """
+    live = states > 0
+    need = live.copy()
+    for d in range(1, length):
+        need[d:] |= live[:-d]
+    keep = need.copy()
+    keep[1:] |= need[:-1]
+    return np.where(need, words, 0)[keep], states[keep]
+
+
 def encode(texts: DataFrame, words: DataFrame, total: int) -> DataFrame:
-    """(lang, words): each text's word numbers as int32 bytes, 0 for breaks and rare words, written.
+    """(words): the texts' word numbers as int32 bytes, each text closed by a 0, rare words and breaks as one 0; written.
 
-    The dictionary is broadcast in blocks of ``WORDS_AT_ONCE``; a text passes by every block.
+    The dictionary is broadcast in blocks of ``WORDS_AT_ONCE``; a text passes by
+    every block.  Several short texts share a row.
     """
     spark = texts.sparkSession
     blocks = max(1, -(-total // WORDS_AT_ONCE))
@@ -105,23 +124,25 @@ def encode(texts: DataFrame, words: DataFrame, total: int) -> DataFrame:
                 ids = []
                 for lang, text, old in zip(pdf["lang"], pdf["text"], pdf["words"], strict=True):
                     found = words_of(text)
+                    found.append(_BREAK)
                     new = np.fromiter(map(shared.value.get(lang, {}).get, found, repeat(0)), np.int32, len(found))
-                    ids.append((new if old is None else np.maximum(new, np.frombuffer(old, np.int32))).tobytes())
-                yield pd.DataFrame({"lang": pdf["lang"], "text": None if last else pdf["text"], "words": ids})
+                    ids.append(new if old is None else np.maximum(new, np.frombuffer(old, np.int32)))
+                if not last:
+                    yield pd.DataFrame({"lang": pdf["lang"], "text": pdf["text"], "words": [x.tobytes() for x in ids]})
+                    continue
+                rows, size = [[]], 0
+                for x in ids:
+                    x = compact(x, x, 1)[0]
+                    rows[-1].append(x.tobytes())
+                    size += len(x)
+                    if size > ROW:
+                        rows.append([])
+                        size = 0
+                yield pd.DataFrame({"lang": None, "text": None, "words": [b"".join(r) for r in rows]})
 
         out = written(out.mapInPandas(each, "lang string, text binary, words binary"), "encoded")
         shared.unpersist()
-    return out.select("lang", "words")
-
-
-def _joined(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """All arrays of a batch in one, a zero behind each; and where each begins."""
-    parts = [np.frombuffer(x, np.int32) for x in column]
-    start = np.cumsum([0, *(len(p) + 1 for p in parts)])
-    flat = np.zeros(start[-1], np.int64)
-    for p, s in zip(parts, start, strict=False):
-        flat[s:s + len(p)] = p
-    return flat, start
+    return out.select("words")
 
 
 def _behind(a: np.ndarray, k: int) -> np.ndarray:
@@ -130,13 +151,13 @@ def _behind(a: np.ndarray, k: int) -> np.ndarray:
 
 
 def counts_and_candidates(rows: DataFrame, level: int, last: bool) -> DataFrame:
-    """(kind, key, suffix, n) from (words, states): pre-counted in each task, summed by key.
+    """(key, suffix, n) from (words, states): pre-counted in each task, summed by key, candidates below ``LEAST`` left out.
 
-    kind 0: key is an accepted state and n its occurrences (``bincount``).
-    kind 1, unless ``last``: a candidate one word longer, key = state << 32 |
-    next word, suffix = the state of its words but the first, n = its
-    occurrences, at most ``LEAST`` from a task's block: enough to tell whether
-    it is frequent.
+    A negative key is an accepted state and n its occurrences (``bincount``; a
+    task holds 8 bytes a state).  Any other key, unless ``last``, is a candidate
+    one word longer: state << 32 | next word, suffix the state of its words but
+    the first (of one word: 0), n its occurrences, at most ``LEAST`` from a
+    task's block: enough to tell whether it is frequent.
     """
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states = np.zeros(0, np.int64)
@@ -145,24 +166,26 @@ def counts_and_candidates(rows: DataFrame, level: int, last: bool) -> DataFrame:
 
         def merged():
             keys, suffixes, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            keys, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-            return keys, suffixes[first], np.bincount(inverse, n).astype(np.int64)
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.diff(keys, prepend=-1))
+            return keys[first], suffixes[order][first], np.add.reduceat(n[order], first) if len(first) else n
 
         def candidates(keys, suffixes, n):
-            return pd.DataFrame({"kind": 1, "key": keys, "suffix": suffixes, "n": np.minimum(n, LEAST)})
+            return pd.DataFrame({"key": keys, "suffix": suffixes, "n": np.minimum(n, LEAST)})
 
         for pdf in batches:
-            s, _ = _joined(pdf["states"])
+            s = np.frombuffer(b"".join(pdf["states"]), np.int32)
             counts = np.bincount(s, minlength=len(states))
             counts[:len(states)] += states
             states = counts
             if last:
                 continue
-            w = s if level == 1 else _joined(pdf["words"])[0]
+            w = np.frombuffer(b"".join(pdf["words"]), np.int32)
             right = _behind(s, 1)
             at = np.flatnonzero((s > 0) & (right > 0))
-            keys, first, n = np.unique(s[at] << 32 | _behind(w, level)[at], return_index=True, return_counts=True)
-            held.append((keys, right[at][first], n))
+            keys, first, n = np.unique(s[at].astype(np.int64) << 32 | _behind(w, level)[at], return_index=True, return_counts=True)
+            held.append((keys, right[at][first] if level > 1 else np.zeros(len(keys), np.int8), n.astype(np.int32)))
             size += len(keys)
             if size > HELD:
                 held = [merged()]
@@ -174,14 +197,15 @@ def counts_and_candidates(rows: DataFrame, level: int, last: bool) -> DataFrame:
             yield candidates(*merged())
         states[:1] = 0
         seen = np.flatnonzero(states)
-        yield pd.DataFrame({"kind": 0, "key": seen, "suffix": 0, "n": states[seen]})
+        yield pd.DataFrame({"key": -seen, "suffix": 0, "n": states[seen]})
 
-    found = rows.mapInPandas(each, "kind int, key long, suffix long, n long")
-    return found.groupBy("kind", "key").agg(F.max("suffix").alias("suffix"), F.sum("n").alias("n"))
+    found = rows.mapInPandas(each, "key long, suffix int, n long")
+    summed = found.groupBy("key").agg(F.max("suffix").alias("suffix"), F.sum("n").alias("n"))
+    return summed.where((F.col("key") < 0) | (F.col("n") >= LEAST))
 
 
 def tries(phrases: DataFrame, total: int) -> list[DataFrame]:
-    """One-row tables (first, base, check, child) of the shards of a level's transitions.
+    """One-row tables, each the arrays of a shard of a level's transitions.
 
     A shard holds the transitions of neighbouring prefixes: numbers run by
     prefix, so a shard is a range of numbers, closed at whole prefixes.
@@ -192,11 +216,11 @@ def tries(phrases: DataFrame, total: int) -> list[DataFrame]:
 
     def each(pdf: pd.DataFrame) -> pd.DataFrame:
         t = build(pdf["prefix"].to_numpy(), pdf["word"].to_numpy(), pdf["id"].to_numpy())
-        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "first": [t.first], "base": [t.base.tobytes()],
-                             "check": [t.check.tobytes()], "child": [t.child.tobytes()]})
+        return pd.DataFrame({"shard": pdf["shard"].iloc[:1], "first": [t.first], "states": [t.states], "digits": [t.digits],
+                             "base": [t.base.tobytes()], "check": [t.check.tobytes()], "child": [t.child.tobytes()]})
 
     rows = written(dealt.select("shard", "prefix", "word", "id").groupBy("shard").applyInPandas(
-        each, "shard long, first long, base binary, check binary, child binary"), "tries")
+        each, "shard long, first long, states long, digits int, base binary, check binary, child binary"), "tries")
     return [rows.where(F.col("shard") == i) for i in range(shards)]
 
 
@@ -206,24 +230,25 @@ def advance(rows: DataFrame, shards: list[DataFrame], level: int) -> DataFrame:
     out = rows.withColumn("next", F.lit(None).cast("binary"))
     for i, shard in enumerate(shards):
         r = shard.first()
-        if r is None:
-            continue
-        trie = Transitions(r["first"], np.frombuffer(r["base"], np.int64), np.frombuffer(r["check"], np.int32),
-                           np.frombuffer(r["child"], np.int32))
+        last = i == len(shards) - 1
+        trie = r and Transitions(r["first"], r["states"], r["digits"], *(np.frombuffer(r[c], np.int32) for c in ("base", "check", "child")))
         shared = spark.sparkContext.broadcast(trie)
 
-        def each(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def each(batches: Iterator[pd.DataFrame], shared=shared, last=last) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                w, start = _joined(pdf["words"])
-                s, _ = _joined(pdf["states"])
-                at = np.flatnonzero((s > 0) & (_behind(s, 1) > 0))
-                moved = np.zeros(len(s), np.int32)
-                moved[at] = shared.value.advance(s[at], _behind(w, level)[at])
-                raw, new = moved.tobytes(), []
-                for a, b, old in zip(start, start[1:], pdf["next"], strict=False):
-                    own = raw[4 * a:4 * (b - 1)]
-                    new.append(own if old is None else np.maximum(np.frombuffer(own, np.int32), np.frombuffer(old, np.int32)).tobytes())
-                yield pd.DataFrame({"words": pdf["words"], "states": pdf["states"], "next": new})
+                done = []
+                for words, states, old in zip(pdf["words"], pdf["states"], pdf["next"], strict=True):
+                    w, s = np.frombuffer(words, np.int32), np.frombuffer(states, np.int32)
+                    moved = np.zeros(len(s), np.int32) if old is None else np.frombuffer(old, np.int32).copy()
+                    if shared.value:   # a shard may be empty
+                        at = np.flatnonzero((s > 0) & (_behind(s, 1) > 0))
+                        moved[at] = np.maximum(moved[at], shared.value.advance(s[at].astype(np.int64), _behind(w, level)[at].astype(np.int64)))
+                    if last:
+                        w, moved = compact(w, moved, level + 1)
+                        done.append((w.tobytes(), None, moved.tobytes()))
+                    else:
+                        done.append((words, states, moved.tobytes()))
+                yield pd.DataFrame(done, columns=["words", "states", "next"])
 
         out = written(out.mapInPandas(each, "words binary, states binary, next binary"), f"states_{level}_{i}")
         shared.unpersist()
@@ -245,18 +270,18 @@ def frequent_phrases(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     none = F.lit(0).cast("int")
     phrases = words.select("id", none.alias("prefix"), none.alias("suffix"), F.col("id").alias("word"), "lang",
                            F.col("word").cast("string").alias("phrase"))
-    rows = encode(texts, words, total).select("words", F.col("words").alias("states"))
+    rows = encode(texts, words, total).select("words", F.col("words").alias("states"))   # a word's number is its state
     found = []
     for level in range(1, LONGEST + 1):
         last = level == LONGEST
         seen = written(counts_and_candidates(rows, level, last), f"level_{level}")
-        n = seen.where("kind = 0").select(F.col("key").cast("int").alias("id"), "n")
+        n = seen.where("key < 0").select((-F.col("key")).cast("int").alias("id"), "n")
         found.append(written(phrases.join(n, "id").select(F.lit(level).alias("level"), *phrases.columns, "n"), f"phrases_{level}"))
         if last:
             break
-        longer = seen.where((F.col("kind") == 1) & (F.col("n") >= LEAST)).select(
-            F.shiftright("key", 32).cast("int").alias("prefix"), F.col("suffix").cast("int").alias("suffix"),
-            F.col("key").bitwiseAND(0xFFFFFFFF).cast("int").alias("word"))
+        word = F.col("key").bitwiseAND(0xFFFFFFFF).cast("int")
+        longer = seen.where("key > 0").select(
+            F.shiftright("key", 32).cast("int").alias("prefix"), (F.col("suffix") if level > 1 else word).alias("suffix"), word.alias("word"))
         longer = numbered(longer, ["prefix", "word"], f"candidates_{level + 1}")
         total = longer.count()
         if not total:

@@ -57,7 +57,7 @@ def test_odd_texts_equal_brute_force(spark):
 
 
 def test_several_dictionary_blocks_trie_shards_and_flushes(spark, monkeypatch):
-    for name, small in (("WORDS_AT_ONCE", 3), ("SHARD", 4), ("HELD", 5)):
+    for name, small in (("WORDS_AT_ONCE", 3), ("SHARD", 4), ("HELD", 5), ("HELD_WORDS", 5), ("ROW", 50)):
         monkeypatch.setattr(C, name, small)
     assert run(spark, texts()) == brute(texts())
     assert run(spark, texts(), top=1) == [r for r in brute(texts()) if r[1] == 1]
@@ -68,6 +68,14 @@ def test_nothing_frequent_and_empty(spark):
     assert run(spark, [("en", "a. " * 40)]) == []
 
 
+def test_compact_keeps_stretches_apart():
+    words = np.array([0, 0, 5, 6, 7, 0, 8, 9, 0, 0, 0], np.int32)
+    w, s = C.compact(words, words, 1)
+    assert w.tolist() == s.tolist() == [5, 6, 7, 0, 8, 9, 0]
+    w, s = C.compact(words, np.array([0, 0, 3, 0, 0, 0, 4, 0, 0, 0, 0], np.int32), 2)
+    assert (w.tolist(), s.tolist()) == ([5, 6, 0, 8, 9, 0], [3, 0, 0, 4, 0, 0])
+
+
 def test_double_array_equals_a_dictionary():
     rng = np.random.default_rng(3)
     pairs = np.unique(np.column_stack([rng.integers(5, 400, 5000) ** 2 // 100, rng.integers(1, 900, 5000)]), axis=0)
