@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queuelens.llm.common import small_arrow_batches, table, text_of
-from queuelens.llm.langid import LETTERS, bounded_sample, held_out
+from queuelens.llm.langid import bounded_sample, held_out, words_of
 
 SAMPLE = 2500            # labelled documents a class at most that the model is fitted on, chosen by hash
 LONGEST = 50_000         # characters; longer labelled documents are not used for fitting (all are scored whole)
@@ -162,7 +162,7 @@ def best_threshold(logits: np.ndarray, labels: np.ndarray, clean_weight: float,
 def fit(sample: pd.DataFrame, clean_weight: float = 1.0) -> Model:
     """``sample``: text, toxic (0 or 1), lang.  A third of it calibrates the thresholds."""
     number: dict[str, int] = {}
-    docs = [np.fromiter((number.setdefault(w, len(number)) for w in LETTERS.findall((t or "").lower())), np.int64)
+    docs = [np.fromiter((number.setdefault(w, len(number)) for w in words_of(t or "")), np.int64)
             for t in sample["text"]]
     words = np.array([buckets_of(w) for w in number] or np.zeros((0, 1 + len(PREFIXES))), np.int64)
     labels = sample["toxic"].to_numpy(np.int64)
@@ -212,7 +212,7 @@ def scorer(model: Model):
         seen.update(zip(new, range(len(seen), len(seen) + len(new)), strict=True))
 
     def score(texts: list[str]) -> list[float]:
-        parts = [LETTERS.findall(t.lower()) for t in texts]
+        parts = [words_of(t) for t in texts]
         words = set().union(*parts)
         if len(words) > CACHED and len(texts) > 1:
             half = len(texts) // 2

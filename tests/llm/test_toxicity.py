@@ -59,3 +59,11 @@ def test_windows_and_thresholds_against_plain_loops():
     assert best_threshold(np.array([3.0, 2, 1, 0]), np.array([1, 1, 0, 0]), 1, 0) == 1.5
     assert best_threshold(np.array([3.0, 2]), np.array([1, 1]), 1, 9.0) == 9.0
     assert logit(fit(small()), np.zeros((0, 16))) == fit(small()).offset
+
+
+def test_words_are_runs_of_letters(spark):
+    """The words are those of the language model: numbers that are no digits split them."""
+    model = fit(small())
+    docs = spark.createDataFrame([(0, "the vilexy thing"), (1, "the\u00bdvilexy 12 thing\u2167"), (2, "\u00bd \u00b2 12")], "doc_id long, text string")
+    got = [r.toxicity for r in score_toxicity(docs, model).orderBy("doc_id").collect()]
+    assert got[0] == got[1] != got[2]
