@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from queuelens.llm.common import table
-from queuelens.llm.toxicity import WIDTHS, best_threshold, fit, labelled_sample, logit, op8_toxicity, score_toxicity, windows
+from queuelens.llm import toxicity
+from queuelens.llm.toxicity import (WIDTHS, best_threshold, counted, fit, fit_all, labelled_rows, labelled_sample, logit, op8_toxicity,
+                                    score_toxicity, windows)
 
 SF = "/root/testdata/sf0.1"
 
@@ -67,3 +69,26 @@ def test_words_are_runs_of_letters(spark):
     docs = spark.createDataFrame([(0, "the vilexy thing"), (1, "the\u00bdvilexy 12 thing\u2167"), (2, "\u00bd \u00b2 12")], "doc_id long, text string")
     got = [r.toxicity for r in score_toxicity(docs, model).orderBy("doc_id").collect()]
     assert got[0] == got[1] != got[2]
+
+
+def test_every_labelled_document_is_used(spark, monkeypatch):
+    """No sample: the counts are those of a plain loop over all rows, long texts too, and several tasks train."""
+    monkeypatch.setattr(toxicity, "TASK_DOCS", 40)
+    monkeypatch.setattr(toxicity, "SAMPLE", 1)
+    texts = small()
+    docs = spark.createDataFrame([(i, t * (2500 if i == 3 else 1), "en" if i % 2 else None) for i, t in enumerate(texts["text"])],
+                                 "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, int(y)) for i, y in enumerate(texts["toxic"])], "doc_id long, quality int, toxic int")
+    rows = labelled_rows(docs, labels)
+    seen, n, names, words_in = counted(rows)
+    assert rows.count() == 120 and rows.where("length(text) > 50000").count() == 1 and names == ["en"]
+    fits = rows.where("not tuning").collect()
+    assert list(n) == [sum(r.toxic == y for r in fits) for y in (0, 1)]
+    for word in ("vilest", "weather"):
+        at = toxicity.buckets_of(word)[0]
+        assert [seen[y, at] for y in (0, 1)] == [sum(word in r.text.split() for r in fits if r.toxic == y) for y in (0, 1)]
+        assert words_in[at, 0] == sum(r.text.split().count(word) for r in rows.where("lang = 'en'").collect())
+    got = {r.doc_id: r.toxicity for r in score_toxicity(docs, fit_all(docs, labels)).collect()}
+    assert all((got[i] >= 0.7) == (i >= 60) for i in got)
+    empty = fit_all(docs, labels.where("false"))
+    assert list(empty.thresholds) == [0.0] and all(0 <= r.toxicity <= 1 for r in score_toxicity(docs, empty).collect())
