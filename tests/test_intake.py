@@ -14,7 +14,7 @@ from queuelens.plans import queries as Q
 from queuelens.plans.model import materialized_raw, materialized_star
 from queuelens.schemas import FACT_COLUMNS, RAW_COLUMNS
 from queuelens.session import scratch_path
-from queuelens.sources import files, fixtures
+from queuelens.sources import files, fixtures, sinks
 from tests.conftest import SF_SMALL, explain_text
 
 
@@ -114,3 +114,15 @@ def test_daily_mart_is_bounded_by_calendar_and_dimensions(spark):
     twice = star.fact.select(*FACT_COLUMNS).union(star.fact.select(*FACT_COLUMNS).withColumn("agent_id", F.col("agent_id") + 1000))
     assert not {"agent_id", "root_cause"} & set(mart.MART_KEYS)
     assert mart.build_mart(twice).count() == mart.build_mart(star.fact).count()
+
+
+def test_lines_with_a_header_in_every_file_and_small_raw_files(spark, tmp_path, monkeypatch):
+    """Surplus records are written by all tasks, not by one, and no raw file holds more than FILE_RECORDS records."""
+    lines = spark.range(0, 1000, 1, 4).selectExpr("concat(id, ',  a ,,x,', id) AS value")
+    monkeypatch.setattr(sinks, "FILE_RECORDS", 100)
+    sinks.write_lines(lines, "p,q", f"{tmp_path}/lines")
+    got = spark.read.text(f"{tmp_path}/lines").selectExpr("value", "_metadata.file_path AS f").collect()
+    assert len({r.f for r in got}) >= 10 and sum(r.value == "p,q" for r in got) == len({r.f for r in got})
+    assert sorted(r.value for r in got if r.value != "p,q") == sorted(r.value for r in lines.collect())
+    sinks.write_raw_csv(lines, f"{tmp_path}/raw")
+    assert spark.read.text(f"{tmp_path}/raw").groupBy("_metadata.file_path").count().agg({"count": "max"}).first()[0] <= 101
