@@ -54,3 +54,30 @@ def test_upper_median_matches_sorted_list(spark, seed):
     df = spark.createDataFrame([(v,) for v in vals], "h double")
     want = sorted(vals)[len(vals) // 2]
     assert median.upper_median(df, "h").first()[0] == want
+
+
+def test_sequence_of_hot_and_null_keys_and_one_shuffle_of_the_rest(spark):
+    """Hot keys (a null one too) are numbered in parts, the others by one window over the key: no second one, no wide join."""
+    df = _hot_key_frame(spark).withColumn("k", F.expr("nullif(k, 7)")).withColumn("w", F.lit("wide"))
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o", "v", "w")))
+    for hot_rows in (1, 20, 1000, 100_000):
+        got = sequence_within_key(df, ["k"], ["o", "v"], "seq", F.floor(F.col("o") / 700), hot_rows)
+        assert got.columns == [*df.columns, "seq"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, ref.withColumnRenamed("rn", "seq").collect()))
+    few = sequence_within_key(df, ["k"], ["o", "v"], "seq", F.floor(F.col("o") / 700))
+    few.count()
+    assert "LeftAnti" in explain_text(few)
+
+
+def test_tasks_are_sized_by_the_input(spark):
+    from queuelens.session import READ_BYTES, TASK_ROWS, bounded_tasks
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    try:
+        bounded_tasks(spark, 1000 * TASK_ROWS + 1)
+        assert spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() <= READ_BYTES
+        assert spark.conf.get(names[1]) == "1001"
+        bounded_tasks(spark, 1)
+        assert spark.conf.get(names[1]) == spark.conf.get("spark.sql.shuffle.partitions")
+    finally:
+        for name in names:
+            spark.conf.unset(name)
