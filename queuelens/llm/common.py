@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def true_id(col: str = "doc_id") -> Column:
     return F.nullif(F.col(col), F.lit(NO_ID)).alias(col)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Cut the lineage: ``df`` as a Parquet table in the cluster's shared folder.
 
     A later stage that loses an executor rereads the table instead of
@@ -38,7 +39,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,6 +52,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def list_places(lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of lists of these lengths that lie one after another: the places of the entries of the lists ``numbers``, in
+    their order, and where each of these ends among them (0 first)."""
+    n = lengths[numbers]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return np.arange(ends[-1]) + np.repeat((np.cumsum(lengths) - lengths)[numbers] - ends[:-1], n), ends
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,21 +5,26 @@ characters.  Filters of several widths slide over the whole text, each keeps
 its largest value, and a logistic unit reads them.  Thresholds are calibrated
 by language, which is guessed from the text's words alone: each language's
 best threshold is moved to ``CUT``.  Counts, training (numpy inside tasks, whose
-parameters are averaged after every pass) and thresholds use all labelled rows.
+parameters are averaged after every pass) and thresholds use all labelled rows,
+whose words are hashed once, into a written table that every pass reads.
 """
 
 from __future__ import annotations
 
 import copy
 import math
+import string
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queuelens.llm.common import small_arrow_batches, table, text_of, written
+from queuelens.llm.common import list_places, small_arrow_batches, table, text_of, written
 from queuelens.llm.langid import LANGUAGES, bounded_sample, held_out, words_of
 
 SAMPLE = 2500            # documents a class that labelled_sample draws for a trial in the driver; the query fits on all
@@ -35,7 +40,10 @@ EPOCHS = 4
 BATCH = 16
 RATE = 0.1
 CUT = 0.7                # score from which a document counts as toxic
-CACHED = 200_000         # words remembered by a Python worker
+CACHED = 800_000         # parts of texts between spaces, and beginnings of words, remembered by a Python worker
+MARKS = string.punctuation + string.digits + "\t\n\r"   # cut off the ends of such parts; no letters
+LONGEST_KEPT = 64        # characters; longer parts are forgotten after their batch
+TOGETHER = 1 << 24       # bytes of texts scored or hashed at a time, or one text
 
 
 def buckets_of(word: str) -> list[int]:
@@ -45,6 +53,71 @@ def buckets_of(word: str) -> list[int]:
     return [xxhash.xxh64_intdigest(p) % BUCKETS for p in parts]
 
 
+def buckets_in(codes: np.ndarray) -> np.ndarray:
+    """The buckets of each word code (a row each): a code holds them in 16 bits each, the word's own in the lowest."""
+    return np.ascontiguousarray(codes, "<i8").view("<u2").reshape(-1, 1 + len(PREFIXES))
+
+
+@cache
+def coder():
+    """A function from texts to the codes of their words: codes of the batch's distinct parts between spaces, the place
+    there of each word of each text, and where each text's words end.  Remembers parts and beginnings of words."""
+    import xxhash
+
+    known: dict[str, bytes] = {}
+    heads: dict[str, int] = {}
+    digest, longest = xxhash.xxh64_intdigest, max(PREFIXES)
+
+    def code(word: str) -> int:
+        head = word[:longest]
+        rest = heads.get(head)
+        if rest is None:
+            if len(heads) >= CACHED:
+                heads.clear()
+            rest = heads[head] = sum(digest(f"{n}{word[:n]}") % BUCKETS << 16 * k for k, n in enumerate(PREFIXES, 1))
+        return digest(f"={word}") % BUCKETS | rest
+
+    def part_codes(part: str) -> bytes:
+        low = part.lower()
+        if low.isalpha():
+            return code(low).to_bytes(8, "little")
+        return b"".join(code(w).to_bytes(8, "little") for w in words_of(part))
+
+    def codes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        # a word never holds a space, nor does its lower case depend on what follows one or on marks at a part's ends
+        cut = pc.split_pattern(texts, " ")
+        numbered = pc.ascii_trim(pc.ascii_lower(cut.flatten()), MARKS).dictionary_encode()
+        parts = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(known.get, parts))
+        new = [i for i, codes in enumerate(found) if codes is None]
+        if len(known) + len(new) > CACHED:
+            known.clear()
+        for i in new:
+            found[i] = part_codes(parts[i])
+            if len(parts[i]) <= LONGEST_KEPT and len(known) < CACHED:
+                known[parts[i]] = found[i]
+        at, ends = list_places(np.fromiter(map(len, found), np.int64, len(found)) // 8, numbered.indices.to_numpy())
+        return np.frombuffer(b"".join(found), "<i8"), at, ends[cut.offsets.to_numpy()]
+
+    return codes_of
+
+
+def slices(texts: pa.Array) -> list[pa.Array]:
+    """The texts in slices of TOGETHER bytes, about, or of one text."""
+    if len(texts) < 2 or texts.nbytes <= TOGETHER:
+        return [texts]
+    half = len(texts) // 2
+    return slices(texts[:half]) + slices(texts[half:])
+
+
+def embedded(embedding: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """The sum of each word's rows."""
+    x = embedding[buckets[:, 0]]
+    for k in range(1, buckets.shape[1]):
+        x += embedding[buckets[:, k]]
+    return x
+
+
 @dataclass
 class Model:
     """Rows of ``embedding``: DIM of the classifier, then one log frequency for each of ``languages``."""
@@ -129,7 +202,7 @@ def epoch(s: State, docs: list[np.ndarray], words: np.ndarray, labels: np.ndarra
         d_b, d_w, d_o = np.zeros(s.bias.shape), np.zeros(s.weight.shape), 0.0
         for i in order:
             d = docs[i]
-            x = s.e[words[d]].sum(1)
+            x = embedded(s.e, words[d])
             values = windows(x, s.f)
             place = np.concatenate([v.argmax(0) for v in values])
             best = np.concatenate([v.max(0) for v in values]) + s.bias
@@ -187,9 +260,15 @@ def seen_in(docs: list[np.ndarray], words: np.ndarray, labels: np.ndarray) -> np
 
 def numbered_words(texts) -> tuple[list[np.ndarray], np.ndarray]:
     """Word numbers of each text, and the buckets of each word number."""
-    number: dict[str, int] = {}
-    docs = [np.fromiter((number.setdefault(w, len(number)) for w in words_of(t or "")), np.int64) for t in texts]
-    return docs, np.array([buckets_of(w) for w in number] or np.zeros((0, 1 + len(PREFIXES))), np.int64)
+    codes, at, ends = coder()(pa.array([t or "" for t in texts], pa.string()))
+    return np.split(at, ends[1:-1]) if len(ends) > 1 else [], buckets_in(codes)
+
+
+def coded_words(codes: pd.Series) -> tuple[list[np.ndarray], np.ndarray]:
+    """:func:`numbered_words` of texts whose words are coded."""
+    ends = np.cumsum([0, *map(len, codes)])
+    buckets = buckets_in(np.concatenate([np.zeros(0, np.int64), *codes]))
+    return [np.arange(a, b) for a, b in zip(ends, ends[1:], strict=False)], buckets
 
 
 def languages_of(docs: list[np.ndarray], words: np.ndarray, langs: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -232,7 +311,7 @@ def fit(sample: pd.DataFrame, clean_weight: float = 1.0) -> Model:
     pick = lambda m: [d for d, x in zip(docs, m, strict=True) if x]
     model = train(pick(~tuning), words, labels[~tuning])
     model.languages, model.frequency = languages_of(docs, words, list(sample["lang"]))
-    values = np.array([logit(model, model.embedding[words[d]].sum(1)) for d in docs])
+    values = np.array([logit(model, embedded(model.embedding, words[d])) for d in docs])
     guess = np.array([int(model.frequency[words[d, 0]].sum(0).argmax()) if model.languages and len(d) else 0 for d in docs])
     whole = best_threshold(values[tuning], labels[tuning], clean_weight, 0.0)
     model.thresholds = np.array([best_threshold(values[tuning & (guess == k)], labels[tuning & (guess == k)], clean_weight, whole)
@@ -259,7 +338,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[pd.DataFrame, f
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every document with a label (text, toxic, lang), written; ``tuning`` marks the third that calibrates the thresholds."""
+    """Every document with a label (text, toxic, lang); ``tuning`` marks the third that calibrates the thresholds."""
     usable = labels.where(labels["doc_id"].isNotNull() & labels["toxic"].isin(0, 1)).groupBy(
         labels["doc_id"].cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     named = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"), docs["lang"].cast("string").alias("lang"))
@@ -267,12 +346,29 @@ def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # both sides dealt alike, so that every file holds a random share of the documents
     rows = named.repartition(tasks, "doc_id").join(usable.repartition(tasks, "doc_id"), "doc_id")
     tuning = F.pmod(F.xxhash64("doc_id", F.lit("tuning")), F.lit(3)) == 0
-    return written(rows.select("text", "toxic", "lang", tuning.alias("tuning")), "toxicity_labelled")
+    return rows.select("text", "toxic", "lang", tuning.alias("tuning"))
+
+
+def coded(rows: DataFrame) -> DataFrame:
+    """``rows`` with the codes of each text's words, in order, in place of the text."""
+    if "text" not in rows.columns:
+        return rows
+
+    @F.arrow_udf("array<bigint>")
+    def codes_of(texts: pa.Array) -> pa.Array:
+        out = []
+        for some in slices(texts):
+            codes, at, ends = coder()(some)
+            out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes[at])))
+        return pa.concat_arrays(out)
+
+    return rows.select(codes_of(text_of(rows)).alias("codes"), *[c for c in rows.columns if c != "text"])
 
 
 def counted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
     """Over all rows: documents of each label with a bucket and documents of each label (without the tuning third),
     the most frequent languages, and the words of each bucket in each of them."""
+    rows = coded(rows)
     langs = rows.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
     names = sorted(r["lang"] for r in langs.collect())
 
@@ -280,7 +376,7 @@ def counted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, list[str], np.ndar
         seen, n, words_in = np.zeros((2, BUCKETS)), np.zeros(2), np.zeros((BUCKETS, len(names)))
         place = {x: i for i, x in enumerate(names)}
         for b in batches:
-            docs, words = numbered_words(b["text"])
+            docs, words = coded_words(b["codes"])
             labels, fits = b["toxic"].to_numpy(np.int64), ~b["tuning"].to_numpy(bool)
             seen += seen_in([d for d, x in zip(docs, fits, strict=True) if x], words, labels[fits])
             n += np.bincount(labels[fits], minlength=2)
@@ -311,7 +407,7 @@ def trained_once(rows: DataFrame, state: State, share: np.ndarray, seed: int) ->
         s = copy.deepcopy(shared.value)
         rng, changed, n = np.random.default_rng(seed), np.zeros(BUCKETS, bool), 0
         for b in batches:
-            docs, words = numbered_words(b["text"])
+            docs, words = coded_words(b["codes"])
             changed[epoch(s, docs, words, b["toxic"].to_numpy(np.int64), share, rng)] = True
             n += len(b)
         if not n:
@@ -348,9 +444,9 @@ def calibrated(rows: DataFrame, model: Model) -> np.ndarray:
     def value(batches):
         m = shared.value
         for b in batches:
-            docs, words = numbered_words(b["text"])
+            docs, words = coded_words(b["codes"])
             guess = [int(m.frequency[words[d, 0]].sum(0).argmax()) if m.languages and len(d) else 0 for d in docs]
-            at = [round(STEPS * max(-LARGEST, min(LARGEST, logit(m, m.embedding[words[d]].sum(1))))) for d in docs]
+            at = [round(STEPS * max(-LARGEST, min(LARGEST, logit(m, embedded(m.embedding, words[d]))))) for d in docs]
             yield pd.DataFrame({"guess": np.array(guess, np.int32), "at": np.array(at, np.int32), "toxic": b["toxic"].to_numpy(np.int64)})
 
     found = rows.mapInPandas(value, "guess int, at int, toxic long").groupBy("guess", "at").agg(
@@ -364,7 +460,7 @@ def calibrated(rows: DataFrame, model: Model) -> np.ndarray:
 def fit_all(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Model:
     """The model of every labelled document: counts, training and thresholds are Spark jobs over all of them."""
     small_arrow_batches(docs.sparkSession)
-    rows = labelled_rows(docs, labels)
+    rows = written(coded(labelled_rows(docs, labels)), "toxicity_labelled", "zstd")
     seen, n, names, words_in = counted(rows)
     state = start(seen, n, np.random.default_rng(seed))
     for k in range(EPOCHS):
@@ -376,37 +472,18 @@ def fit_all(docs: DataFrame, labels: DataFrame, seed: int = 1) -> Model:
 
 
 def scorer(model: Model):
-    """A function from texts to scores; keeps the embeddings of words it has met."""
-    width = DIM + len(model.languages)
-    rows = np.zeros((CACHED, width), np.float32)
-    seen: dict[str, int] = {}
+    """A function from texts to scores."""
     shift = np.log(CUT / (1 - CUT))
 
-    def vectors(words: list[str]) -> np.ndarray:
-        b = np.array([buckets_of(w) for w in words], np.int64).reshape(-1, 1 + len(PREFIXES))
-        return np.concatenate([model.embedding[b].sum(1), model.frequency[b[:, 0]]], axis=1)
-
-    def learn(new: list[str]) -> None:
-        rows[len(seen):len(seen) + len(new)] = vectors(new)
-        seen.update(zip(new, range(len(seen), len(seen) + len(new)), strict=True))
-
-    def score(texts: list[str]) -> list[float]:
-        parts = [words_of(t) for t in texts]
-        words = set().union(*parts)
-        if len(words) > CACHED and len(texts) > 1:
-            half = len(texts) // 2
-            return score(texts[:half]) + score(texts[half:])
-        new = words.difference(seen)
-        if len(seen) + len(new) > CACHED:
-            seen.clear()
-            new = words
-        if len(new) <= CACHED:
-            learn(list(new))
+    def score(texts: pa.Array) -> list[float]:
+        codes, at, ends = coder()(texts)
+        buckets = buckets_in(codes)
+        x, languages = embedded(model.embedding, buckets), model.frequency[buckets[:, 0]]
         out = []
-        for part in parts:
-            x = rows[np.fromiter(map(seen.__getitem__, part), np.int64, len(part))] if len(new) <= CACHED else vectors(part)
-            k = int(x[:, DIM:].sum(0).argmax()) if model.languages and len(x) else 0
-            value = logit(model, x[:, :DIM]) - model.thresholds[k] + shift
+        for a, b in zip(ends, ends[1:], strict=False):
+            own = at[a:b]
+            k = int(languages[own].sum(0).argmax()) if model.languages and len(own) else 0
+            value = logit(model, x[own]) - model.thresholds[k] + shift
             out.append(float(1 / (1 + np.exp(-np.clip(value, -50, 50)))))
         return out
 
@@ -417,13 +494,11 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", out: s
     """``docs`` plus a score from 0 to 1 of the whole text; null texts count as empty and score the model's offset."""
     small_arrow_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by BUCKETS and the languages
-    state: dict = {}
 
-    @F.pandas_udf("double")
-    def of(texts: pd.Series) -> pd.Series:
-        if "score" not in state:
-            state["score"] = scorer(shared.value)
-        return pd.Series(state["score"](texts.tolist()), index=texts.index)
+    @F.arrow_udf("double")
+    def of(texts: pa.Array) -> pa.Array:
+        score = scorer(shared.value)
+        return pa.array([y for some in slices(texts) for y in score(some)], pa.float64())
 
     return docs.withColumn(out, of(text_of(docs, text_col)))
 

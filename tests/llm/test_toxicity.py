@@ -4,6 +4,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from queuelens.llm.common import table
@@ -92,3 +93,19 @@ def test_every_labelled_document_is_used(spark, monkeypatch):
     assert all((got[i] >= 0.7) == (i >= 60) for i in got)
     empty = fit_all(docs, labels.where("false"))
     assert list(empty.thresholds) == [0.0] and all(0 <= r.toxicity <= 1 for r in score_toxicity(docs, empty).collect())
+
+
+def test_words_are_hashed_once_and_as_one_by_one(spark, monkeypatch):
+    """The passes read word codes, no texts; a text's codes are its words' buckets, in order, also where caches overflow."""
+    monkeypatch.setattr(toxicity, "CACHED", 3)
+    texts = ["", "Word word, wor (WORD) 12", "a½ß Ⅷ ΑΣ. ΑΣ ΟΔΟΣ", "  İstanbul a1b2\nﬁx ", "x" * 300, "日本 語"]
+    want = [[toxicity.buckets_of(w) for w in toxicity.words_of(t)] for t in texts]
+    toxicity.coder.cache_clear()
+    docs, words = toxicity.numbered_words(texts * 2)
+    toxicity.coder.cache_clear()
+    assert [words[d].tolist() for d in docs] == want * 2
+    rows = spark.createDataFrame([(i, t, 0, "en", False) for i, t in enumerate(texts)], "i int, text string, toxic int, lang string, tuning boolean")
+    got = toxicity.coded(rows).orderBy("i").toPandas()
+    docs, words = toxicity.coded_words(got["codes"])
+    assert [words[d].tolist() for d in docs] == want and "text" not in got and toxicity.coded(toxicity.coded(rows)).columns == list(got.columns)
+    assert sum(len(x) for x in toxicity.slices(pa.array(texts))) == len(texts)
