@@ -4,8 +4,10 @@ import base64
 import random
 
 import public_tokenizers as P
+import pyarrow as pa
 import tiktoken
 
+from queuelens.llm import bpe
 from queuelens.llm.bpe import decode_ids, encode_texts, encoder, merge_many, merge_one, op3_byte_bpe, vocabulary
 from queuelens.llm.common import table
 from tests.llm.brute import sha
@@ -59,3 +61,19 @@ def test_unspaced_texts_are_not_kept():
     assert [x.tolist() for x in encode(texts)] == [t.encode_ordinary(x) for x in texts]
     caches = [c.cell_contents for c in encode.__closure__ if isinstance(c.cell_contents, dict)]
     assert max((len(k) for c in caches for k in c), default=0) <= 64
+
+
+def test_distinct_parts_are_split_once(monkeypatch):
+    """Parts between spaces that repeat in a batch, first parts and texts with touching white space, as Arrow or as a list."""
+    seen, old = [], bpe.merged
+    monkeypatch.setattr(bpe, "merged", lambda vocab, words, size: seen.extend(words) or old(vocab, words, size))
+    t, encode = reference(), encoder.__wrapped__(PATH, P.PATTERN)
+    texts = ["zqxjk vwpfq, zqxjk vwpfq zqxjk", "vwpfq zqxjk", "", " ", "zqxjk", " zqxjk ", "vwpfq\u0085\u0085 zqxjk", "zqxjk\x1c\x1d vwpfq",
+             "a\x0b\x0b b", "a　 b", "vwpfq\n zqxjk's"] * 40
+    want = [t.encode_ordinary(x) for x in texts]
+    assert [x.tolist() for x in encode(pa.array(texts))] == want == [x.tolist() for x in encode(texts)]
+    assert b" zqxjk" in seen and len(seen) == len(set(seen))
+    assert encode([]) == [] and [x.tolist() for x in encode([""])] == [[]]
+    ids = pa.array([*want, None], pa.list_(pa.int32()))
+    assert vocabulary(PATH).decode(ids).to_pylist() == [*[x.encode() for x in texts], b""]
+    assert vocabulary(PATH).decode(ids[3:9]).to_pylist() == [x.encode() for x in texts[3:9]]
