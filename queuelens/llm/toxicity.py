@@ -43,7 +43,7 @@ CUT = 0.7                # score from which a document counts as toxic
 CACHED = 800_000         # parts of texts between spaces, and beginnings of words, remembered by a Python worker
 MARKS = string.punctuation + string.digits + "\t\n\r"   # cut off the ends of such parts; no letters
 LONGEST_KEPT = 64        # characters; longer parts are forgotten after their batch
-TOGETHER = 1 << 24       # bytes of texts scored or hashed at a time, or one text
+TOGETHER = 1 << 22       # bytes of texts scored or hashed at a time, or one text
 
 
 def buckets_of(word: str) -> list[int]:

@@ -108,4 +108,7 @@ def test_words_are_hashed_once_and_as_one_by_one(spark, monkeypatch):
     got = toxicity.coded(rows).orderBy("i").toPandas()
     docs, words = toxicity.coded_words(got["codes"])
     assert [words[d].tolist() for d in docs] == want and "text" not in got and toxicity.coded(toxicity.coded(rows)).columns == list(got.columns)
-    assert sum(len(x) for x in toxicity.slices(pa.array(texts))) == len(texts)
+    monkeypatch.setattr(toxicity, "TOGETHER", 60)
+    some = toxicity.slices(pa.array(texts))
+    found = [(toxicity.buckets_in(c), at[a:b]) for x in some for c, at, ends in [toxicity.coder()(x)] for a, b in zip(ends, ends[1:], strict=False)]
+    assert len(some) > 2 and [b[at].tolist() for b, at in found] == want
