@@ -255,28 +255,33 @@ def advance(rows: DataFrame, shards: list[DataFrame], level: int) -> DataFrame:
     return out.select("words", F.col("next").alias("states"))
 
 
-def frequent_phrases(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two written tables from (lang, text as binary).
-
-    (level, id, prefix, suffix, word, lang, phrase, n): every phrase of 1 to
-    ``LONGEST`` words with ``LEAST`` or more occurrences; prefix, suffix and
-    word are the numbers of its words but the last, but the first, and of the
-    last.  And (lang, n): all word occurrences.
+def frequent_phrases(texts: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """A written table for each number of words, and the languages' totals, from (lang, text as binary).
+
+    (id, prefix, suffix, lang, phrase, n, heads, tails): every phrase of
+    1 to ``LONGEST`` words with ``LEAST`` or more occurrences; prefix and suffix
+    are the numbers of its words but the last and but the first, heads and tails
+    the occurrences of its first and its last 1, 2, ... words, up to itself.
+    Each level takes them from the one before, so nothing has to go back down
+    the levels later.  And (lang, n): all word occurrences.
     """
     counts = written(word_counts(texts), "word_counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     words = numbered(counts.where(F.col("n") >= LEAST).drop("n"), ["lang", "word"], "words")
     total = words.count()
-    none = F.lit(0).cast("int")
-    phrases = words.select("id", none.alias("prefix"), none.alias("suffix"), F.col("id").alias("word"), "lang",
-                           F.col("word").cast("string").alias("phrase"))
+    none, nothing = F.lit(0).cast("int"), F.array().cast("array<long>")
+    phrases = words.select("id", none.alias("prefix"), none.alias("suffix"), "lang", F.col("word").cast("string").alias("phrase"),
+                           nothing.alias("heads"), nothing.alias("tails"))
     rows = encode(texts, words, total).select("words", F.col("words").alias("states"))   # a word's number is its state
     found = []
     for level in range(1, LONGEST + 1):
         last = level == LONGEST
         seen = written(counts_and_candidates(rows, level, last), f"level_{level}")
         n = seen.where("key < 0").select((-F.col("key")).cast("int").alias("id"), "n")
-        found.append(written(phrases.join(n, "id").select(F.lit(level).alias("level"), *phrases.columns, "n"), f"phrases_{level}"))
+        own = F.array("n")
+        found.append(written(phrases.join(n, "id").select(
+            "id", "prefix", "suffix", "lang", "phrase", "n",
+            F.concat("heads", own).alias("heads"), F.concat("tails", own).alias("tails")), f"phrases_{level}"))
         if last:
             break
         word = F.col("key").bitwiseAND(0xFFFFFFFF).cast("int")
@@ -285,17 +290,16 @@ def frequent_phrases(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         longer = numbered(longer, ["prefix", "word"], f"candidates_{level + 1}")
         total = longer.count()
         if not total:
+            found += [found[0].where(F.lit(False))] * (LONGEST - level)
             break
         rows = advance(rows, tries(longer, total), level)
-        before = phrases.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("head"))
+        before = found[-1].select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("head"), "heads")
+        after = found[-1].select(F.col("id").alias("suffix"), "tails")
         tail = found[0].select(F.col("id").alias("word"), F.col("phrase").alias("tail"))
-        phrases = longer.join(before, "prefix").join(tail, "word").select(
-            "id", "prefix", "suffix", "word", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"))
+        phrases = longer.join(before, "prefix").join(after, "suffix").join(tail, "word").select(
+            "id", "prefix", "suffix", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "heads", "tails")
         phrases = written(phrases, f"candidate_phrases_{level + 1}")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out, totals
+    return found, totals
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", top: int = TOP) -> DataFrame:
@@ -309,39 +313,23 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     small_arrow_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit(UNKNOWN)).alias("lang"),
                         text_of(docs, text_col).cast("binary").alias("text"))
-    phrases, totals = frequent_phrases(texts)
-    of = {k: phrases.where(F.col("level") == k) for k in range(1, LONGEST + 1)}
-
-    def counted(level: int, key: str):
-        return of[level].select(F.col("id").alias(key), F.col("n").alias(f"{key}_n"), F.col("prefix").alias(f"{key}_prefix"),
-                                F.col("suffix").alias(f"{key}_suffix"))
-
-    scored = None
-    for k in range(2, LONGEST + 1):
-        # the first j words are j - k prefixes up, the rest is j suffixes up
-        p = of[k].select("id", "lang", "phrase", F.col("n").alias("a"), F.col("word").alias("r1"),
-                         F.col("prefix").alias(f"l{k - 1}"), F.col("suffix").alias(f"r{k - 1}"))
-        for j in range(k - 1, 1, -1):
-            p = p.join(counted(j, f"l{j}"), f"l{j}").withColumn(f"l{j - 1}", F.col(f"l{j}_prefix" if j > 2 else f"l{j}_prefix"))
-            p = p.join(counted(j, f"r{j}"), f"r{j}")
-            if j > 2:
-                p = p.withColumn(f"r{j - 1}", F.col(f"r{j}_suffix"))
-        one = of[1].select(F.col("id").alias("l1"), F.col("n").alias("l1_n"))
-        last = of[1].select(F.col("id").alias("r1"), F.col("n").alias("r1_n"))
-        p = p.join(one, "l1").join(last, "r1")
+    found, totals = frequent_phrases(texts)
+    scored = inside = None
+    for k, p in enumerate(found[1:], 2):
         cuts = []
         for j in range(1, k):
-            left, right = F.col(f"l{j}_n"), F.col(f"r{k - j}_n")
-            score = F.expr(f"(cast({SCALE} as decimal(20,0)) * cast(a as decimal(18,0))) div cast(l{j}_n + r{k - j}_n as decimal(20,0))")
+            left, right = F.col("heads")[j - 1], F.col("tails")[k - j - 1]
+            score = F.expr(f"(cast({SCALE} as decimal(20,0)) * cast(n as decimal(18,0))) div cast(heads[{j - 1}] + tails[{k - j - 1}] as decimal(20,0))")
             cuts.append(F.struct(score.alias("score"), F.lit(j).alias("k"), left.alias("l"), right.alias("r")))
-        p = p.withColumn("cut", F.array_min(F.array(*cuts)))
-        if k < LONGEST:   # a phrase inside a longer one lies at the head or the tail of one that is one word longer
-            inside = of[k + 1].select(F.explode(F.array("prefix", "suffix")).alias("id"), "n").groupBy("id").agg(F.max("n").alias("most"))
-            p = p.join(inside, "id", "left").where(F.coalesce(
-                F.expr(f"cast(100 as decimal(20,0)) * cast(most as decimal(18,0)) < cast({COVERED} as decimal(20,0)) * cast(a as decimal(18,0))"),
-                F.lit(True)))
-        p = p.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-        scored = p if scored is None else scored.unionByName(p)
+        cut = p.select(F.lit(k).alias("level"), "id", "lang", "phrase", F.col("n").alias("a"), F.array_min(F.array(*cuts)).alias("cut"))
+        scored = cut if scored is None else scored.unionByName(cut)
+        if k > 2:   # a phrase inside a longer one lies at the head or the tail of one that is one word longer
+            parts = p.select(F.lit(k - 1).alias("level"), F.explode(F.array("prefix", "suffix")).alias("id"), "n")
+            inside = parts if inside is None else inside.unionByName(parts)
+    most = inside.groupBy("level", "id").agg(F.max("n").alias("most"))
+    scored = scored.join(most, ["level", "id"], "left").where(F.coalesce(
+        F.expr(f"cast(100 as decimal(20,0)) * cast(most as decimal(18,0)) < cast({COVERED} as decimal(20,0)) * cast(a as decimal(18,0))"),
+        F.lit(True))).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",

@@ -86,3 +86,11 @@ def test_double_array_equals_a_dictionary():
     states[:5000], symbols[:5000] = pairs[rng.integers(0, len(pairs), 5000)].T
     got = trie.advance(states, symbols)
     assert got.tolist() == [known.get(x, 0) for x in zip(states.tolist(), symbols.tolist(), strict=True)]
+
+
+def test_result_looks_up_no_level_again(spark):
+    """Counts of parts come with the phrases: a plan of a join for each part and level took 200 MB of the driver's memory."""
+    docs = spark.createDataFrame([(i, t, lang, "s", 7) for i, (lang, t) in enumerate(texts())], DOCS)
+    plan = C.collocations(docs)._jdf.queryExecution().optimizedPlan().toString()
+    joins = re.findall(r"Join \w+", plan)
+    assert len(joins) == 2, joins   # the phrases one word longer, and the languages' totals
