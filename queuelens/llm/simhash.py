@@ -60,7 +60,9 @@ def links(fps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     Every fingerprint goes to all anchors within covering radius + threshold,
     and is compared there with those whose home the anchor is.  A fingerprint
     has at most 2080 distinct others within two bits, so the result grows
-    linearly however large a group of near copies is.
+    linearly however large a group of near copies is.  Both sides are
+    shuffled: Spark sizes the anchors, some 150 a fingerprint, like the
+    fingerprints, and would broadcast them.
     """
     def replicate(reach: int, name: str) -> DataFrame:
         def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,7 +75,7 @@ def links(fps: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         return fps.select("fp").mapInPandas(each, f"{name} long, anchor long")
 
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
-    return (replicate(0, "a").join(replicate(threshold, "b"), "anchor")
+    return (replicate(0, "a").hint("merge").join(replicate(threshold, "b"), "anchor")
             .where((F.col("a") < F.col("b")) & near).select("a", "b"))
 
 

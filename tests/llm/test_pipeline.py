@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from queuelens.llm import simhash
 from queuelens.llm.common import table
+from tests.conftest import explain_text
 from tests.llm import brute
 from tests.llm.test_simhash import groups, plain
 
@@ -41,3 +43,12 @@ def test_stages_keep_the_columns_of_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, out.limit(60), SF)
         assert out.columns == docs.columns
+
+
+def test_near_copies_are_linked_without_a_broadcast(spark, monkeypatch):
+    """Spark sizes the anchors, some 150 a fingerprint, like the fingerprints, whatever their number."""
+    plans = []
+    monkeypatch.setattr(simhash, "components", lambda edges, f=simhash.components: (plans.append(explain_text(edges)), f(edges))[1])
+    docs = spark.createDataFrame([(i, f"text number {i} of a few") for i in range(9)], "doc_id long, text string")
+    assert corpus_pipeline.simhash_near_dedup(spark, docs, SF).count() > 0
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
