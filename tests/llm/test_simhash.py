@@ -10,6 +10,7 @@ from queuelens.llm.common import table
 from queuelens.llm.components import components
 from queuelens.llm.covering import anchors
 from queuelens.llm.simhash import drop_near_duplicates, fingerprint, links, op10_simhash, simhash_groups
+from tests.conftest import explain_text
 from tests.llm.conftest import DOCS
 
 SF = "/root/testdata/sf0.01"
@@ -76,6 +77,11 @@ def test_links_against_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_links_broadcast_no_side_however_small_the_fingerprints(spark):
+    plan = explain_text(links(spark.range(100).withColumnRenamed("id", "fp")))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_chains_and_stars(spark):
     e = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7), (300, 299), (299, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(e, "a long, b long")).collect()}
