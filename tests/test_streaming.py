@@ -165,3 +165,34 @@ def test_compaction_reads_the_tail_only_and_survives_crashes_and_replays(spark):
     second = compaction.compact(spark, sink)
     assert (second.version, second.through) == (2, 2) and compaction.drop_unread(spark, sink) == 2
     assert _rows(ingest.read_ingested(spark, sink)) == want
+
+
+def _shuffle_files(spark):
+    """Names of the shuffle files on this (local) session's disk."""
+    files_ = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files_) if f.getName().startswith("shuffle_")}
+
+
+def _left_over(spark, run):
+    """Shuffle files that stay after ``run``; Spark drops them a moment after the job."""
+    import time
+
+    before = _shuffle_files(spark)
+    run()
+    for _ in range(20):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.25)
+    return left
+
+
+def test_raw_export_and_cleaned_rows_leave_no_shuffle_files_for_the_sort(spark, monkeypatch):
+    from queuelens.plans import catalog_more, model
+
+    monkeypatch.setattr(model, "_MEMO", {})
+    assert not _left_over(spark, lambda: materialized_raw(spark, SF_SMALL))
+    out = []
+    assert not _left_over(spark, lambda: out.append(catalog_more.cl_project_sort(spark, SF_SMALL)))
+    plan = explain_text(out[0])
+    assert plan.count("Exchange") == 1 and "rangepartitioning(ticket_id" in plan   # the cleaning is not run again by the sort's sampling
+    assert out[0].collect() == cleaning.project_sort(cleaning.clean_pipeline(materialized_raw(spark, SF_SMALL), fixtures.AS_OF)).collect()
