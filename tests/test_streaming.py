@@ -186,6 +186,28 @@ def _left_over(spark, run):
     return left
 
 
+def test_ingest_leaves_no_cached_batch_no_staged_table_and_no_shuffle_files(spark, monkeypatch):
+    raw = materialized_raw(spark, SF_SMALL)
+    base = scratch_path(spark, "test_left_over")
+    sinks.write_raw_csv(raw, f"{base}/source/x", compression="gzip")
+    cached = []
+    persist = type(raw).persist
+    monkeypatch.setattr(type(raw), "persist", lambda self, *a: (cached.append(1), persist(self, *a))[1])
+    assert not _left_over(spark, lambda: ingest.start_clean_ingest(
+        spark, f"{base}/source/*", f"{base}/sink", f"{base}/checkpoint", fixtures.AS_OF).awaitTermination())
+    assert not cached and not compaction._files(spark, f"{base}/sink/staged/*")
+    assert not _left_over(spark, lambda: compaction.compact(spark, f"{base}/sink"))
+    assert _rows(ingest.read_ingested(spark, f"{base}/sink")) == _rows(cleaning.clean_pipeline(raw, fixtures.AS_OF))
+
+
+def test_drops_of_the_registry_are_compressed(spark):
+    from queuelens.plans import catalog_more
+
+    sink = catalog_more._ingest(spark, SF_SMALL)
+    found = compaction._files(spark, f"{sink}/../source/drop*/part-*")
+    assert found and all(f.endswith(".csv.gz") for f in found)
+
+
 def test_raw_export_and_cleaned_rows_leave_no_shuffle_files_for_the_sort(spark, monkeypatch):
     from queuelens.plans import catalog_more, model
 
