@@ -167,6 +167,23 @@ def test_compaction_reads_the_tail_only_and_survives_crashes_and_replays(spark):
     assert _rows(ingest.read_ingested(spark, sink)) == want
 
 
+def test_compaction_has_a_bucket_for_every_partition_of_the_readers_shuffles(spark):
+    """With fewer buckets a reader's join shuffles the merged side as well, and a bucket grows with the input."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    raw = materialized_raw(spark, SF_SMALL)
+    base, before = scratch_path(spark, "test_buckets"), spark.conf.get(key, None)
+    spark.conf.set(key, "7")
+    try:
+        _drops(spark, base, [("x", raw.where("ingest_seq > 1"))])
+        assert compaction.compact(spark, f"{base}/sink").buckets == 7
+        _drops(spark, base, [("y", raw.where("ingest_seq = 1"))])
+        plan = explain_text(compaction.merged(spark, f"{base}/sink"))
+        assert "Bucketed: true" in plan and plan.count("Exchange") == 1
+        assert _rows(ingest.read_ingested(spark, f"{base}/sink")) == _rows(cleaning.clean_pipeline(raw, fixtures.AS_OF))
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _shuffle_files(spark):
     """Names of the shuffle files on this (local) session's disk."""
     files_ = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
